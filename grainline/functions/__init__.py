@@ -26,6 +26,7 @@ from grainline.functions.measures import (
     money,
     or_zero,
     percent,
+    period_total,
     total,
 )
 
@@ -50,6 +51,7 @@ __all__ = [
     "or_zero",
     "percent",
     "period_start",
+    "period_total",
     "quarter_of",
     "total",
     "units_between",

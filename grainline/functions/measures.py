@@ -24,8 +24,17 @@ def money(amount: ColumnOrName) -> Column:
     return as_column(amount).cast(MONEY)
 
 
+def period_total(amount: ColumnOrName) -> Column:
+    """Aggregate: exact sum over one entity and period.
+
+    Eighteen digits keep the value in a machine word for the windows and
+    aggregates that follow; a larger sum is an error, never a wrong value.
+    """
+    return F.sum(as_column(amount)).cast(MONEY)
+
+
 def total(amount: ColumnOrName) -> Column:
-    """Aggregate: exact sum of a money column."""
+    """Aggregate: exact sum of a money column over any number of rows."""
     return F.sum(as_column(amount)).cast(TOTAL)
 
 

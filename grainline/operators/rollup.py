@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainline.functions import mean, period_start, quarter_of, total, year_of
+from grainline.functions import mean, period_start, period_total, quarter_of, total, year_of
 from grainline.functions._columns import Names, as_names
 
 
@@ -31,7 +31,8 @@ def period_revenue(
     columns = [F.col(k) for k in keys]
     if grain is not None:
         columns.append(period_start(date, grain).alias(period))
-    rolled = fact.groupBy(*columns).agg(total(value).alias(revenue))
+    summed = total(value) if grain is None else period_total(value)
+    rolled = fact.groupBy(*columns).agg(summed.alias(revenue))
     if dim is None:
         return rolled
     return rolled.join(dim.select(*keys, *as_names(attrs)), keys)
@@ -50,7 +51,7 @@ def rollup_years(
     if by_quarter:
         columns.append(quarter_of(period).alias("sales_quarter"))
     out = out or ("quarterly_revenue" if by_quarter else "yearly_revenue")
-    return monthly.groupBy(*columns).agg(total(value).alias(out))
+    return monthly.groupBy(*columns).agg(period_total(value).alias(out))
 
 
 def group_sum(df: DataFrame, group: Names, value: str, out: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from grainline.functions import MEAN, TOTAL, growth_pct
+from grainline.functions import MEAN, MONEY, TOTAL, growth_pct
 from grainline.functions._columns import Names, as_names
 from grainline.operators.ranking import top_k_per_group
 from grainline.operators.rollup import rollup_years
@@ -48,7 +48,7 @@ def rolling(
     else:
         raise ValueError(f"unknown function {fn!r}")
     if digits is not None:
-        column = F.round(column, digits).cast(TOTAL)
+        column = F.round(column, digits).cast(MONEY)
     return df.withColumn(out, column)
 
 

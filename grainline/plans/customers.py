@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainline.functions import growth_pct, month_start, total, units_between
+from grainline.functions import growth_pct, month_start, period_total, total, units_between
 from grainline.operators import (
     cohort_shares,
     period_revenue,
@@ -85,7 +85,7 @@ def _activity_profiles(fact: DataFrame, min_gap_days: int, return_months: int) -
         daily.withColumn("_gap", gap)
         .groupBy(KEY, month_start("order_day").alias("sales_month"))
         .agg(
-            total("day_revenue").alias("monthly_revenue"),
+            period_total("day_revenue").alias("monthly_revenue"),
             F.max("_gap").alias("_gap"),
             F.count_if(F.col("_gap") >= min_gap_days).alias("_long_gaps"),
         )

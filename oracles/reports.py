@@ -110,12 +110,12 @@ def salesperson(with_rolling: bool) -> str:
         + """,
         seller_months AS (
             SELECT salesperson_id, CAST(date_trunc('month', order_date) AS DATE) AS m,
-                   CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS v
+                   CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS v
             FROM sales WHERE order_date < DATE '2001-01-01' GROUP BY ALL)"""
         + _growth_profile("seller_months", "salesperson_id")
         + f""",
         years AS (
-            SELECT salesperson_id, CAST(year(m) AS INTEGER) AS y, CAST(SUM(v) AS DECIMAL(28,2)) AS yv
+            SELECT salesperson_id, CAST(year(m) AS INTEGER) AS y, CAST(SUM(v) AS DECIMAL(18,2)) AS yv
             FROM seller_months GROUP BY ALL),
         last_two AS (
             SELECT salesperson_id, MAX(y) AS y, arg_max(yv, y) AS yv, arg_max(yv, y, 2)[2] AS pyv
@@ -123,7 +123,7 @@ def salesperson(with_rolling: bool) -> str:
         quarters AS (
             SELECT DISTINCT ON (salesperson_id) salesperson_id, q, qv FROM (
                 SELECT salesperson_id, year(m) AS y, CAST(quarter(m) AS INTEGER) AS q,
-                       CAST(SUM(v) AS DECIMAL(28,2)) AS qv
+                       CAST(SUM(v) AS DECIMAL(18,2)) AS qv
                 FROM seller_months GROUP BY ALL)
             ORDER BY salesperson_id, qv DESC, y, q),
         regions AS (

@@ -29,12 +29,12 @@ OPERATORS = {
         FROM sales""",
     "revenue_by_year": with_views("sales") + """
         SELECT salesperson_id, CAST(year(order_date) AS INTEGER) AS sales_year,
-               CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS yearly_revenue
+               CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS yearly_revenue
         FROM sales GROUP BY ALL""",
     "revenue_by_quarter": with_views("sales") + """
         SELECT salesperson_id, CAST(year(order_date) AS INTEGER) AS sales_year,
                CAST(quarter(order_date) AS INTEGER) AS sales_quarter,
-               CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS quarterly_revenue
+               CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS quarterly_revenue
         FROM sales GROUP BY ALL""",
     "sales_summary": with_views("placed") + f"""
         SELECT COUNT(*) AS order_count, CAST(SUM(amount) AS DECIMAL(28,2)) AS total_amount,
@@ -114,7 +114,7 @@ OPERATORS = {
     "best_quarter": with_views("sales") + """,
         q AS (SELECT salesperson_id, CAST(year(order_date) AS INTEGER) AS sales_year,
                      CAST(quarter(order_date) AS INTEGER) AS sales_quarter,
-                     CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS quarterly_revenue
+                     CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS quarterly_revenue
               FROM sales GROUP BY ALL)
         SELECT DISTINCT ON (salesperson_id) salesperson_id, sales_year, sales_quarter,
                quarterly_revenue
@@ -183,7 +183,7 @@ OPERATORS = {
         FROM c WINDOW w AS (PARTITION BY cohort_month)""",
     "yoy": with_views("sales") + f""",
         y AS (SELECT salesperson_id, CAST(year(order_date) AS INTEGER) AS sales_year,
-                     CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS yearly_revenue
+                     CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS yearly_revenue
               FROM sales GROUP BY ALL)
         SELECT y.*, p.yearly_revenue AS previous_year_revenue,
                {pct('y.yearly_revenue - p.yearly_revenue', 'p.yearly_revenue')} AS yoy_growth

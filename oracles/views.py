@@ -49,11 +49,11 @@ VIEWS = {
           AND n_regionkey = r_regionkey AND l_partkey = p_partkey)""",
     "by_month": """by_month AS (
         SELECT customer_id, CAST(date_trunc('month', order_date) AS DATE) AS m,
-               CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS v
+               CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS v
         FROM sales GROUP BY ALL)""",
     "goods_by_month": """goods_by_month AS (
         SELECT product_id, CAST(date_trunc('month', order_date) AS DATE) AS m,
-               CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS v
+               CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS v
         FROM sales GROUP BY ALL)""",
 }
 
@@ -85,4 +85,4 @@ def avg2(total: str, count: str) -> str:
     """Average of a positive money total with two decimals, half up, in whole cents."""
     cents = f"CAST(({total}) * 100 AS HUGEINT)"
     rounded = f"((2 * {cents} + ({count})) // (2 * ({count})))"
-    return f"CAST(CAST({rounded} AS DECIMAL(30,0)) * 0.01 AS DECIMAL(28,2))"
+    return f"CAST(CAST({rounded} AS DECIMAL(30,0)) * 0.01 AS DECIMAL(18,2))"
