@@ -9,6 +9,7 @@ aggregate instead of joining one intermediate table per measure.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from grainline.functions import growth_pct, month_start, period_total, total, units_between
@@ -32,6 +33,15 @@ def at_latest(column: str, period: str = "sales_month"):
     return F.max_by(column, period)
 
 
+def _settled(customers: DataFrame) -> DataFrame:
+    """Shuffle the finished customer rows before they are sorted.
+
+    A sort first samples its input to choose ranges; without this cut the
+    sampling would run all windows over the month rows a second time.
+    """
+    return customers.hint("rebalance", KEY)
+
+
 def customer_monthly_performance(
     fact: DataFrame, dim: DataFrame, min_streak: int = 3, extra: bool = False
 ) -> DataFrame:
@@ -66,20 +76,26 @@ def customer_monthly_performance(
     ]
     if extra:
         columns.append("running_revenue")
-    return kept.select(*columns).orderBy(
+    return _settled(kept.select(*columns)).orderBy(
         F.col("longest_monthly_streak").desc_nulls_last(),
         F.col("latest_month_revenue").desc_nulls_last(),
         KEY,
     )
 
 
-def _activity_profiles(fact: DataFrame, min_gap_days: int, return_months: int) -> DataFrame:
+def _days(fact: DataFrame) -> DataFrame:
+    """Revenue per customer and day, the only place where the fact is read."""
+    return period_revenue(fact, KEY, grain="day", period="order_day", revenue="day_revenue")
+
+
+def _activity_profiles(daily: DataFrame, min_gap_days: int, return_months: int) -> DataFrame:
     """One row per customer with streaks, gaps, returns and lifetime revenue.
 
-    The fact is read once, to customer and day.  Days carry the gaps and roll
-    up to months without another shuffle, since both are grouped by customer.
+    Days carry the gaps and roll up to months without another shuffle, since
+    both are partitioned by customer.  The key leaves the last aggregate as a
+    value: a later join then tests it above the day rows and not below, and
+    their shuffle stays the same one that the average reads.
     """
-    daily = period_revenue(fact, KEY, grain="day", period="order_day", revenue="day_revenue")
     gap = F.datediff("order_day", F.lag("order_day").over(along(KEY, "order_day")))
     monthly = (
         daily.withColumn("_gap", gap)
@@ -90,15 +106,14 @@ def _activity_profiles(fact: DataFrame, min_gap_days: int, return_months: int) -
             F.count_if(F.col("_gap") >= min_gap_days).alias("_long_gaps"),
         )
     )
-    rows = with_previous(
-        monthly, KEY, "sales_month", ["sales_month", "monthly_revenue"]
-    )
+    rows = with_previous(monthly, KEY, "sales_month", ["sales_month", "monthly_revenue"])
     for mode in ("growth", "activity"):
         rows = with_run_length(
             rows, KEY, "sales_month", "monthly_revenue", mode, out=f"_{mode}", start=f"_{mode}_start"
         )
     returned = F.col("sales_month") >= F.add_months("previous_sales_month", return_months)
-    return rows.groupBy(KEY).agg(
+    profiles = rows.groupBy(F.col(KEY).alias("_group")).agg(
+        F.max(KEY).alias(KEY),
         total("monthly_revenue").alias("lifetime_revenue"),
         F.max("_growth").alias("longest_growth_streak"),
         F.max("_activity").alias("longest_activity_streak"),
@@ -111,15 +126,11 @@ def _activity_profiles(fact: DataFrame, min_gap_days: int, return_months: int) -
         at_latest("monthly_revenue").alias("latest_month_revenue"),
         at_latest("previous_monthly_revenue").alias("previous_revenue"),
     )
+    return profiles.drop("_group")
 
 
-def _above_average_lifetime(fact: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Profiles above the average lifetime revenue of all customers of the fact.
-
-    The average starts from the same day rows as the profiles, so their
-    shuffle is computed once.
-    """
-    daily = period_revenue(fact, KEY, grain="day", period="order_day", revenue="day_revenue")
+def _above_average_lifetime(profiles: DataFrame, daily: DataFrame) -> DataFrame:
+    """Profiles above the average lifetime revenue of all customers of the fact."""
     lifetimes = period_revenue(daily, KEY, value="day_revenue", grain=None, revenue="lifetime")
     overall = lifetimes.agg(
         F.struct(F.sum("lifetime").alias("s"), F.count("lifetime").alias("n"))
@@ -139,9 +150,10 @@ def customer_lifecycle(
 
     ``streak="activity"`` counts consecutive months instead of increases.
     """
-    profiles = _activity_profiles(fact, min_gap_days, return_months=3)
+    daily = _days(fact)
+    profiles = _activity_profiles(daily, min_gap_days, return_months=3)
     latest_growth = growth_pct("latest_month_revenue", "previous_revenue")
-    kept = _above_average_lifetime(fact, profiles).filter(
+    kept = _above_average_lifetime(profiles, daily).filter(
         (F.col(f"longest_{streak}_streak") >= min_streak)
         & (F.col("max_inactive_days") >= min_gap_days)
         & (F.col("long_gaps") >= 1)
@@ -173,7 +185,12 @@ def customer_cohorts(fact: DataFrame, dim: DataFrame, extra: bool = False) -> Da
     rows = rolling(monthly, KEY, "sales_month", "monthly_revenue", out="rolling_3_month_revenue")
     rows = running(rows, KEY, "sales_month", "monthly_revenue", out="cumulative_revenue")
     rows = with_run_length(rows, KEY, "sales_month", mode="activity")
-    earliest_best = F.struct("monthly_revenue", -F.unix_date("sales_month"))
+    # The first month with the highest revenue is the last one to set a record.
+    record = F.max("monthly_revenue").over(
+        along(KEY, "sales_month").rowsBetween(W.unboundedPreceding, -1)
+    )
+    sets_record = F.col("_record").isNull() | (F.col("monthly_revenue") > F.col("_record"))
+    rows = rows.withColumn("_record", record)
     customers = rows.groupBy(KEY).agg(
         F.min("sales_month").alias("cohort_month"),
         total("monthly_revenue").alias("lifetime_revenue"),
@@ -182,7 +199,7 @@ def customer_cohorts(fact: DataFrame, dim: DataFrame, extra: bool = False) -> Da
         at_latest("cumulative_revenue").alias("cumulative_revenue"),
         at_latest("rolling_3_month_revenue").alias("rolling_3_month_revenue"),
         F.max("monthly_revenue").alias("highest_monthly_revenue"),
-        F.max_by("sales_month", earliest_best).alias("highest_revenue_month"),
+        F.max(F.when(sets_record, F.col("sales_month"))).alias("highest_revenue_month"),
         F.max("run_length").alias("longest_purchase_streak"),
     )
     known = customers.join(dim.select(KEY, *ATTRIBUTES), KEY)
@@ -203,7 +220,7 @@ def customer_cohorts(fact: DataFrame, dim: DataFrame, extra: bool = False) -> Da
     ]
     if extra:
         columns.append((F.col("longest_purchase_streak") >= 3).alias("has_3_month_streak"))
-    return cohort_shares(known).select(*columns).orderBy(KEY)
+    return _settled(cohort_shares(known).select(*columns)).orderBy(KEY)
 
 
 def customer_retention(
@@ -221,8 +238,9 @@ def customer_retention(
 
     ``extra`` adds the longest distance between two active months.
     """
-    profiles = _activity_profiles(fact, min_gap_days, return_months)
-    kept = _above_average_lifetime(fact, profiles).filter(
+    daily = _days(fact)
+    profiles = _activity_profiles(daily, min_gap_days, return_months)
+    kept = _above_average_lifetime(profiles, daily).filter(
         (F.col("active_months") >= min_months)
         & (F.col("max_inactive_days") >= min_gap_days)
         & (F.col("month_returns") >= min_returns)

@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, folder: str | None, name: str) -> DataFrame:
-    """A table by name: from a folder of Parquet files, or from the catalog."""
+    """A table by name: from a folder of Parquet files, or from the catalog.
+
+    The schema of a path is taken from its files once; later scans of the same
+    path do without the job that reads it.
+    """
     if folder is None:
         return spark.table(name)
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)

@@ -44,25 +44,24 @@ def line_sales(spark: SparkSession, folder: str, *keys: str) -> DataFrame:
     ``keys`` are any of customer_id, product_id, salesperson_id; tables that
     only supply other keys are not read.
     """
-    lines = table(spark, folder, "lineitem")
-    heads = table(spark, folder, "orders")
-    sales = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-    if "product_id" in keys:
-        parts = table(spark, folder, "part")
-        sales = sales.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-    if "salesperson_id" in keys:
-        sellers = table(spark, folder, "supplier")
-        sales = sales.join(sellers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    columns = {
-        "customer_id": F.col("o_custkey"),
-        "product_id": _product_key(),
-        "salesperson_id": F.col("s_nationkey"),
-    }
-    return sales.select(
-        *[columns[k].alias(k) for k in keys],
+    heads = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
-        _line_amount().alias("sales_amount"),
     )
+    sales = table(spark, folder, "lineitem").withColumn("sales_amount", _line_amount())
+    sales = sales.join(heads, "l_orderkey")
+    if "product_id" in keys:
+        parts = table(spark, folder, "part").select(
+            F.col("p_partkey").alias("l_partkey"), _product_key().alias("product_id")
+        )
+        sales = sales.join(parts, "l_partkey", "left")
+    if "salesperson_id" in keys:
+        sellers = table(spark, folder, "supplier").select(
+            F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("salesperson_id")
+        )
+        sales = sales.join(sellers, "l_suppkey", "left")
+    return sales.select(*keys, "order_date", "sales_amount")
 
 
 def _product_key():
