@@ -12,6 +12,7 @@ from grainline import operators as op
 from grainline import plans
 from grainline import sources as src
 from grainline.functions import (
+    MEAN,
     annual_salary,
     growth_flag,
     growth_pct,
@@ -558,6 +559,170 @@ def partitioned_sales(spark: SparkSession, folder: str) -> DataFrame:
     return src.read_months(spark, path, "sale_date", "1999-11-15", "2000-02-11")
 
 
+# Chains, set operators, statistics, data checks
+
+
+@register
+def management_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return op.hierarchy_levels(src.employees(spark, folder), "emp_id", "manager_id")
+
+
+@register
+def staff_of_both_years(spark: SparkSession, folder: str) -> DataFrame:
+    return op.in_both(
+        src.staff_of_year(spark, folder, 1999), src.staff_of_year(spark, folder, 2000)
+    )
+
+
+@register
+def staff_of_first_year_only(spark: SparkSession, folder: str) -> DataFrame:
+    return op.only_left(
+        src.staff_of_year(spark, folder, 1999), src.staff_of_year(spark, folder, 2000)
+    )
+
+
+@register
+def staff_of_both_years_with_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return op.in_both(
+        src.staff_of_year(spark, folder, 1999),
+        src.staff_of_year(spark, folder, 2000),
+        keep_copies=True,
+    )
+
+
+@register
+def staff_of_first_year_surplus(spark: SparkSession, folder: str) -> DataFrame:
+    return op.only_left(
+        src.staff_of_year(spark, folder, 1999),
+        src.staff_of_year(spark, folder, 2000),
+        keep_copies=True,
+    )
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Six decimals: the last digits of a double depend on the order of summing."""
+    return df.withColumns({c: F.round(F.col(c), 6).cast(MEAN) for c in columns})
+
+
+@register
+def salary_moments(spark: SparkSession, folder: str) -> DataFrame:
+    stats = op.moments(src.employees(spark, folder), "dept", "salary")
+    return _rounded(stats, "mean_value", "stddev_value")
+
+
+@register
+def salary_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    levels = {"lower_quartile": 0.25, "median_value": 0.5, "upper_quartile": 0.75}
+    found = op.quantiles(src.employees(spark, folder), "dept", "salary", levels)
+    return _rounded(found, *levels)
+
+
+@register
+def commonest_quantity(spark: SparkSession, folder: str) -> DataFrame:
+    return op.mode(src.table(spark, folder, "lineitem"), "l_returnflag", "l_quantity")
+
+
+@register
+def price_on_quantity(spark: SparkSession, folder: str) -> DataFrame:
+    lines = src.table(spark, folder, "lineitem")
+    found = op.correlation(lines, "l_returnflag", "l_extendedprice", "l_quantity")
+    return _rounded(found, "correlation", "slope", "intercept")
+
+
+@register
+def order_amount_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    orders = src.orders(spark, folder).withColumn("sales_month", month_start("order_date"))
+    return op.iqr_outliers(orders, "sales_month", "amount", reach=0.4).select(
+        "order_id", "sales_month", "amount"
+    )
+
+
+@register
+def salary_z_scores(spark: SparkSession, folder: str) -> DataFrame:
+    staff = src.employees(spark, folder).select("emp_id", "dept", "salary")
+    return _rounded(op.z_scores(staff, "dept", "salary"), "z_score")
+
+
+@register
+def missing_employee_values(spark: SparkSession, folder: str) -> DataFrame:
+    return op.missing_values(
+        src.employees(spark, folder), ["emp_name", "dept_id", "salary", "manager_id"]
+    )
+
+
+@register
+def employee_rule_violations(spark: SparkSession, folder: str) -> DataFrame:
+    return op.rule_violations(
+        src.employees(spark, folder),
+        {
+            "salary_not_positive": F.col("salary") > 0,
+            "name_malformed": F.col("emp_name").startswith("Customer#"),
+            "joined_too_late": F.col("join_date") < F.lit("1995-12-01").cast("date"),
+        },
+    )
+
+
+@register
+def sampled_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return op.keyed_sample(src.orders(spark, folder), "customer_id", 0.25)
+
+
+@register
+def revenue_by_segment_and_region(spark: SparkSession, folder: str) -> DataFrame:
+    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    sales = op.period_revenue(
+        src.order_sales(spark, folder),
+        grain=None,
+        dim=src.dim_customers(spark, folder),
+        attrs=["segment", "region"],
+        revenue="revenue",
+    )
+    return op.pivot_sum(sales, "segment", "region", regions, "revenue")
+
+
+@register
+def department_of_employee(spark: SparkSession, folder: str) -> DataFrame:
+    staff = src.employees(spark, folder).select("emp_id", "dept_id")
+    return op.lookup(
+        staff, src.departments(spark, folder), "dept_id", "dept_name", "unknown"
+    ).select("emp_id", "dept_name")
+
+
+@register
+def cohort_retention(spark: SparkSession, folder: str) -> DataFrame:
+    return op.cohort_retention(active_months(spark, folder), "customer_id", "sales_month")
+
+
+@register
+def churned_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return op.churned(
+        src.orders(spark, folder), "customer_id", "order_date", FULL_YEARS_END, days=180
+    )
+
+
+@register
+def customer_value_segments(spark: SparkSession, folder: str) -> DataFrame:
+    lifetimes = op.period_revenue(
+        src.order_sales(spark, folder), grain=None, revenue="lifetime_revenue"
+    )
+    return op.with_segment(
+        lifetimes, "lifetime_revenue", {"high": 3_000_000, "middle": 1_500_000}, "low"
+    )
+
+
+@register
+def view_to_purchase_conversion(spark: SparkSession, folder: str) -> DataFrame:
+    events = src.table(spark, folder, "events")
+    return op.conversion_rate(events, "user_id", "event_type", "view", "purchase")
+
+
+@register
+def reconciled_order_totals(spark: SparkSession, folder: str) -> DataFrame:
+    heads = src.orders(spark, folder).groupBy("customer_id").agg(total("amount").alias("revenue"))
+    lines = op.period_revenue(src.order_sales(spark, folder), grain=None, revenue="revenue")
+    return op.reconcile(heads, lines, "customer_id", "revenue", "orders", "lines")
+
+
 # Reports
 
 

@@ -5,10 +5,14 @@ from grainline.operators.cohorts import cohort_retention, cohort_shares, cohorts
 from grainline.operators.duplicates import (
     dedupe_keep_latest,
     duplicates,
+    in_both,
+    only_left,
     union_all,
     union_distinct,
 )
 from grainline.operators.gaps import inactivity_gaps, month_reactivations, purchase_gaps
+from grainline.operators.hierarchy import hierarchy_levels
+from grainline.operators.lifecycle import churned, conversion_rate, with_segment
 from grainline.operators.lookups import (
     attach,
     by_key,
@@ -18,7 +22,12 @@ from grainline.operators.lookups import (
     pair_with_each,
     roots,
 )
-from grainline.operators.ordering import compare_ranks, cumulative, global_row_number
+from grainline.operators.ordering import (
+    compare_ranks,
+    cumulative,
+    global_row_number,
+    group_row_number,
+)
 from grainline.operators.ranking import (
     nth_highest,
     peers_of_max,
@@ -39,6 +48,20 @@ from grainline.operators.shares import (
     percent_of_total,
     share_of_group,
 )
+from grainline.operators.statistics import (
+    correlation,
+    iqr_outliers,
+    keyed_sample,
+    lookup,
+    missing_values,
+    mode,
+    moments,
+    pivot_sum,
+    quantiles,
+    reconcile,
+    rule_violations,
+    z_scores,
+)
 from grainline.operators.streaks import longest_streak, streaks, with_run_length
 from grainline.operators.timeseries import (
     best_period,
@@ -56,34 +79,51 @@ __all__ = [
     "attach",
     "best_period",
     "by_key",
+    "churned",
     "cohort_retention",
     "cohort_shares",
     "cohorts",
     "compare_ranks",
+    "conversion_rate",
+    "correlation",
     "cumulative",
     "dedupe_keep_latest",
     "duplicates",
     "global_row_number",
+    "group_row_number",
     "group_sum",
     "group_totals",
     "groups_where_average",
+    "hierarchy_levels",
     "hierarchy_parent",
+    "in_both",
     "inactivity_gaps",
+    "iqr_outliers",
+    "keyed_sample",
     "latest",
     "longest_streak",
+    "lookup",
     "matched",
+    "missing_values",
+    "mode",
+    "moments",
     "month_reactivations",
     "never_matched",
     "nth_highest",
+    "only_left",
     "pair_with_each",
     "peers_of_max",
     "percent_of_total",
     "period_revenue",
+    "pivot_sum",
     "purchase_gaps",
+    "quantiles",
+    "reconcile",
     "rolling",
     "rollup_years",
     "roots",
     "rows_at_nth_highest",
+    "rule_violations",
     "run_statement",
     "running",
     "share_of_group",
@@ -96,5 +136,7 @@ __all__ = [
     "with_cohort",
     "with_previous",
     "with_run_length",
+    "with_segment",
     "yoy",
+    "z_scores",
 ]

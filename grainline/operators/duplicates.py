@@ -30,3 +30,19 @@ def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def union_all(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right)
+
+
+def in_both(left: DataFrame, right: DataFrame, keep_copies: bool = False) -> DataFrame:
+    """Rows of both tables, once, or as often as the rarer side has them."""
+    right = right.select(*left.columns)
+    if keep_copies:
+        return left.intersectAll(right)
+    return left.distinct().intersect(right.distinct())
+
+
+def only_left(left: DataFrame, right: DataFrame, keep_copies: bool = False) -> DataFrame:
+    """Rows of the left table that the right lacks, or lacks copies of."""
+    right = right.select(*left.columns)
+    if keep_copies:
+        return left.exceptAll(right)
+    return left.distinct().subtract(right.distinct())

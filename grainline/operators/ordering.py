@@ -48,6 +48,20 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "row_num")
     )
 
 
+def group_row_number(
+    df: DataFrame, group: Names, order: list[Column], out: str = "row_num"
+) -> DataFrame:
+    """``ROW_NUMBER`` inside each group without gathering a group in one task."""
+    groups = as_names(group)
+    ascending = [F.col(g).asc_nulls_last() for g in groups]
+    numbered = global_row_number(df, [*ascending, *order], "_overall")
+    firsts = numbered.groupBy(*groups).agg(F.min("_overall").alias("_first"))
+    placed = join_groups(numbered, firsts, groups)
+    return placed.withColumn(out, F.col("_overall") - F.col("_first") + 1).drop(
+        "_overall", "_first"
+    )
+
+
 def compare_ranks(
     df: DataFrame,
     value: str,

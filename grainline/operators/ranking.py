@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from grainline.functions._columns import Names, as_names
 from grainline.operators._joins import join_groups
+from grainline.operators.ordering import group_row_number
 
 
 def top_k_per_group(
@@ -23,7 +24,8 @@ def top_k_per_group(
 
     ``row_number`` returns at most k rows a group; ``tie`` names the columns
     that order equal values.  Each task cuts its rows to k per group before
-    the shuffle, so a large group never meets in one task.
+    the shuffle, so a large group never meets in one task.  Spark does so up to
+    a limit on k; beyond it the rows are numbered over range slices.
 
     ``rank`` and ``dense_rank`` return every tied row.  Ties are unbounded, so
     the ranks are found on one row per distinct value and joined back.
@@ -32,7 +34,11 @@ def top_k_per_group(
     window = W.partitionBy(*groups).orderBy(F.col(value).desc_nulls_last())
     if method == "row_number":
         ties = [F.col(t).asc_nulls_last() for t in as_names(tie)]
-        ordered = W.partitionBy(*groups).orderBy(F.col(value).desc_nulls_last(), *ties)
+        order = [F.col(value).desc_nulls_last(), *ties]
+        if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+            numbered = group_row_number(df, groups, order, out)
+            return numbered.filter(F.col(out) <= k).withColumn(out, F.col(out).cast("int"))
+        ordered = W.partitionBy(*groups).orderBy(*order)
         return df.withColumn(out, F.row_number().over(ordered)).filter(F.col(out) <= k)
     if method not in ("rank", "dense_rank"):
         raise ValueError(f"unknown method {method!r}")

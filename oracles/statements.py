@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracles.reports import REPORTS
+from oracles.topics import TOPICS
 from oracles.views import avg2, avg6, pct, with_views
 
 # Start of the growth run a month belongs to: the last month at which the value
@@ -304,4 +305,4 @@ OPERATORS = {
         FROM customer""",
 }
 
-STATEMENTS = {**OPERATORS, **REPORTS}
+STATEMENTS = {**OPERATORS, **TOPICS, **REPORTS}
