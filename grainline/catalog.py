@@ -241,13 +241,13 @@ def cumulative_revenue_per_customer(spark: SparkSession, folder: str) -> DataFra
 @register
 def cumulative_revenue_by_order(spark: SparkSession, folder: str) -> DataFrame:
     sales = src.orders(spark, folder).select("order_id", F.col("amount").alias("revenue"))
-    return op.cumulative(sales, "order_id", "revenue", out="cumulative_revenue")
+    return op.cumulative(sales, "order_id", "revenue", out="cumulative_revenue", unique=True)
 
 
 @register
 def department_running_total(spark: SparkSession, folder: str) -> DataFrame:
     staff = src.employees(spark, folder).select("dept", "emp_id", "salary")
-    return op.cumulative(staff, "emp_id", "salary", "dept", out="running_total")
+    return op.cumulative(staff, "emp_id", "salary", "dept", out="running_total", unique=True)
 
 
 @register

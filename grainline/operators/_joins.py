@@ -13,7 +13,7 @@ from grainline.functions._columns import Names, as_names
 def join_groups(df: DataFrame, groups: DataFrame, keys: Names, how: str = "inner") -> DataFrame:
     """Attach per-group values to the rows of ``df``; NULL is a group as well.
 
-    No side is hinted: the join is broadcast only when the size Spark measured
+    No side is hinted here: the join is broadcast only when the size Spark measured
     allows it, and otherwise a large group is split by the skew handling.
     """
     keys = as_names(keys)

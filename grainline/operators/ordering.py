@@ -7,7 +7,7 @@ one small row per slice carries what came before it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,46 +89,53 @@ def cumulative(
     value: str,
     key: Names | None = None,
     out: str = "cumulative",
+    unique: bool = False,
 ) -> DataFrame:
     """Running total in ``order``, per ``key`` or over everything.
 
     Rows that tie on ``order`` share one total, so the sum runs over one row
-    per key and order value, not over the raw rows.  Dates are few per key by
-    the calendar.  Any other order column may be unique per row; that goes
-    through range slices, which split a large key too.
+    per key and order value, which is joined back to the rows.  Dates are few
+    per key by the calendar.  Any other order column may be different in every
+    row; that goes through range slices, which split a large key too.
+    ``unique`` says that no two rows of a key tie, and saves the joining back.
     """
     keys = as_names(key)
+    if unique:
+        return _sliced_running_sum(df, keys, order, value, out)
     steps = df.groupBy(*keys, order).agg(total(value).alias("_step"))
-    ascending = [F.col(c).asc_nulls_last() for c in (*keys, order)]
     if isinstance(df.schema[order].dataType, T.DateType):
-        running = (
-            W.partitionBy(*keys)
-            .orderBy(F.col(order).asc_nulls_last())
-            .rowsBetween(W.unboundedPreceding, W.currentRow)
-        )
-        sums = steps.withColumn(out, F.sum("_step").over(running).cast(TOTAL)).drop("_step")
-        return join_groups(df, sums, [*keys, order])
-    sliced = _sliced(steps, ascending)
+        running = _up_to_here(W.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last()))
+        sums = steps.withColumn(out, F.sum("_step").over(running).cast(TOTAL))
+    else:
+        sums = _sliced_running_sum(steps, keys, order, "_step", out)
+    return join_groups(df, sums.drop("_step"), [*keys, order])
+
+
+def _up_to_here(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(W.unboundedPreceding, W.currentRow)
+
+
+def _sliced_running_sum(
+    df: DataFrame, keys: list[str], order: str, value: str, out: str
+) -> DataFrame:
+    """Running total of rows that are unique by key and order.
+
+    Slices are ranges of (key, order): a key that does not fit into one goes on
+    in the next.  So at most one key per slice has anything carried into it.
+    """
+    sliced = _sliced(df, [F.col(c).asc_nulls_last() for c in (*keys, order)])
+    inside = _up_to_here(W.partitionBy("_slice", *keys).orderBy("_at"))
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     carried = (
         sliced.groupBy("_slice", *keys)
-        .agg(F.sum("_step").alias("_in_slice"))
+        .agg(F.sum(value).alias("_in_slice"))
         .withColumn("_carried", F.sum("_in_slice").over(before))
+        .filter(F.col("_carried").isNotNull())
         .drop("_in_slice")
     )
-    inside = (
-        W.partitionBy("_slice", *keys)
-        .orderBy("_at")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    sums = sliced.withColumn("_inside", F.sum("_step").over(inside))
-    sums = join_groups(sums, carried, ["_slice", *keys])
-    known = F.col("_carried").isNotNull() | F.col("_inside").isNotNull()
-    sums = sums.select(
-        *keys,
-        order,
-        F.when(known, F.coalesce("_carried", F.lit(0)) + F.coalesce("_inside", F.lit(0)))
-        .cast(TOTAL)
-        .alias(out),
+    sums = sliced.withColumn("_inside", F.sum(value).over(inside))
+    sums = join_groups(sums, F.broadcast(carried), ["_slice", *keys], "left")
+    running = F.when(F.col("_carried").isNull(), F.col("_inside")).otherwise(
+        F.col("_carried") + F.coalesce("_inside", F.lit(0))
     )
-    return join_groups(df, sums, [*keys, order])
+    return sums.withColumn(out, running.cast(TOTAL)).drop("_slice", "_at", "_inside", "_carried")

@@ -34,7 +34,7 @@ def quantiles(df: DataFrame, group: Names, value: str, levels: dict[str, float])
     groups = as_names(group)
     present = df.filter(F.col(value).isNotNull())
     counts = present.groupBy(*groups, value).agg(F.count("*").alias("_n"))
-    placed = cumulative(counts, value, "_n", groups, out="_upto")
+    placed = cumulative(counts, value, "_n", groups, out="_upto", unique=True)
     sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
     placed = join_groups(placed, sizes, groups)
     number = F.col(value).cast("double")

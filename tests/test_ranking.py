@@ -107,6 +107,16 @@ def test_running_totals_equal_a_plain_window(spark, rows, key, order):
     assert rows(found, "id", "total") == rows(plain, "id", "total")
 
 
+@pytest.mark.parametrize("key", [None, "g"])
+def test_unique_running_totals_equal_a_plain_window(spark, rows, key):
+    _, df = hot_rows(spark)
+    window = W.partitionBy(*([key] if key else [])).orderBy("id")
+    plain = df.withColumn("total", F.sum("v").over(window))
+    found = op.cumulative(df, "id", "v", key, out="total", unique=True)
+    assert rows(found, "id", "total") == rows(plain, "id", "total")
+    assert set(found.columns) == {"id", "g", "v", "total"}
+
+
 def test_running_total_of_unknown_values_starts_unknown(frame, rows):
     df = frame("id bigint; v decimal(12,2)", (1, None), (2, 3), (3, None))
     assert rows(op.cumulative(df, "id", "v", out="t"), "id", "t") == [(1, None), (2, 3.0), (3, 3.0)]
