@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from grainline.functions import percent, total, units_between
 from grainline.functions._columns import Names, as_names
+from grainline.operators._joins import join_groups
 
 
 def with_cohort(df: DataFrame, key: Names, period: str) -> DataFrame:
@@ -31,9 +32,9 @@ def cohort_shares(
     and are sent to every executor; the entities, which may nearly all sit in
     one cohort, are not moved.
     """
-    totals = entities.groupBy(F.col(cohort).alias("_cohort")).agg(total(value).alias(total_out))
-    joined = entities.join(F.broadcast(totals), F.col(cohort) == F.col("_cohort"))
-    return joined.drop("_cohort").withColumn(share_out, percent(value, total_out))
+    totals = entities.groupBy(cohort).agg(total(value).alias(total_out))
+    joined = join_groups(entities, F.broadcast(totals), cohort)
+    return joined.withColumn(share_out, percent(value, total_out))
 
 
 def cohorts(monthly: DataFrame, key: Names, period: str, value: str) -> DataFrame:

@@ -72,4 +72,4 @@ def percent_of_total(
     """Rows per group and, unrounded, their percentage of all rows."""
     counts = df.groupBy(*as_names(group)).agg(F.count("*").alias(count_out))
     everything = counts.agg(F.sum(count_out)).scalar()
-    return counts.withColumn(percent_out, F.col(count_out) * F.lit(100.0).cast("double") / everything)
+    return counts.withColumn(percent_out, F.col(count_out) * F.lit(100.0) / everything)

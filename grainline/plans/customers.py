@@ -109,7 +109,13 @@ def _activity_profiles(daily: DataFrame, min_gap_days: int, return_months: int)
     rows = with_previous(monthly, KEY, "sales_month", ["sales_month", "monthly_revenue"])
     for mode in ("growth", "activity"):
         rows = with_run_length(
-            rows, KEY, "sales_month", "monthly_revenue", mode, out=f"_{mode}", start=f"_{mode}_start"
+            rows,
+            KEY,
+            "sales_month",
+            "monthly_revenue",
+            mode,
+            out=f"_{mode}",
+            start=f"_{mode}_start",
         )
     returned = F.col("sales_month") >= F.add_months("previous_sales_month", return_months)
     profiles = rows.groupBy(F.col(KEY).alias("_group")).agg(

@@ -25,9 +25,17 @@ def tuned_builder(master: str | None = None, **settings: str) -> SparkSession.Bu
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor reaches; the session names it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="grainline-")
+    """Folder that every executor reaches; the session names it.
+
+    Only a session on one machine may go without the setting.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return tempfile.mkdtemp(prefix="grainline-")
 
 
 def stable(df: DataFrame) -> DataFrame:

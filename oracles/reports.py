@@ -37,7 +37,8 @@ def customer_monthly(min_streak: int, extra: bool = False) -> str:
                   QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY m DESC) <= 3)
             GROUP BY customer_id)
         SELECT customer_id, last_m AS latest_month, last_v AS latest_month_revenue,
-               last_pv AS previous_month_revenue, {pct('last_v - last_pv', 'last_pv')} AS mom_growth,
+               last_pv AS previous_month_revenue,
+               {pct('last_v - last_pv', 'last_pv')} AS mom_growth,
                rolling_avg_3m, longest AS longest_monthly_streak
                {', lifetime AS running_revenue' if extra else ''}
         FROM profile NATURAL JOIN last3 NATURAL JOIN (SELECT customer_id FROM buyers)
@@ -115,7 +116,8 @@ def salesperson(with_rolling: bool) -> str:
         + _growth_profile("seller_months", "salesperson_id")
         + f""",
         years AS (
-            SELECT salesperson_id, CAST(year(m) AS INTEGER) AS y, CAST(SUM(v) AS DECIMAL(18,2)) AS yv
+            SELECT salesperson_id, CAST(year(m) AS INTEGER) AS y,
+                   CAST(SUM(v) AS DECIMAL(18,2)) AS yv
             FROM seller_months GROUP BY ALL),
         last_two AS (
             SELECT salesperson_id, MAX(y) AS y, arg_max(yv, y) AS yv, arg_max(yv, y, 2)[2] AS pyv

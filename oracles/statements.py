@@ -122,7 +122,8 @@ OPERATORS = {
         FROM q
         ORDER BY salesperson_id, quarterly_revenue DESC, sales_year, sales_quarter""",
     "share_of_category": with_views("sales", "goods") + f""",
-        p AS (SELECT product_id, category, CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS lifetime_revenue
+        p AS (SELECT product_id, category,
+                     CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS lifetime_revenue
               FROM sales NATURAL JOIN goods GROUP BY ALL),
         c AS (SELECT category, CAST(SUM(lifetime_revenue) AS DECIMAL(28,2)) AS category_revenue,
                      {avg6('SUM(lifetime_revenue)', 'COUNT(*)')} AS category_avg_revenue
@@ -239,7 +240,8 @@ OPERATORS = {
         FROM staff GROUP BY dept""",
     "customers_with_orders": with_views("placed") + """
         SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer
-        WHERE c_custkey IN (SELECT customer_id FROM placed WHERE order_date >= DATE '2000-01-01')""",
+        WHERE c_custkey IN (
+            SELECT customer_id FROM placed WHERE order_date >= DATE '2000-01-01')""",
     "customers_without_orders": with_views("placed") + """
         SELECT c_custkey AS customer_id, c_name AS customer_name
         FROM customer ANTI JOIN
@@ -295,7 +297,8 @@ OPERATORS = {
         SELECT emp_id, emp_name, dept_id FROM staff WHERE dept_id = 10""",
     "balances_after_transfers": """
         WITH moves AS (
-            SELECT o_custkey AS account_id, -CAST(o_totalprice AS DECIMAL(18,2)) AS delta FROM orders
+            SELECT o_custkey AS account_id, -CAST(o_totalprice AS DECIMAL(18,2)) AS delta
+            FROM orders
             UNION ALL
             SELECT xor(o_custkey, 1), CAST(o_totalprice AS DECIMAL(18,2)) FROM orders)
         SELECT c_custkey AS account_id,

@@ -70,7 +70,8 @@ def test_unknown_revenue_breaks_growth(frame, rows):
 
 
 def test_day_streaks(frame, rows):
-    df = frame("k string; m date", *[("a", f"2024-02-{d:02}") for d in (27, 28, 29)], ("a", "2024-03-01"), ("a", "2024-03-03"))
+    days = ["2024-02-27", "2024-02-28", "2024-02-29", "2024-03-01", "2024-03-03"]
+    df = frame("k string; m date", *[("a", d) for d in days])
     assert rows(op.streaks(df, "k", "m", mode="activity", unit="day")) == [
         ("a", "2024-02-27", "2024-03-01", 4),
         ("a", "2024-03-03", "2024-03-03", 1),
