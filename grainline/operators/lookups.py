@@ -10,13 +10,20 @@ from grainline.functions._columns import Names, as_names
 EVERY_PAIR_ROWS = 10_000
 
 
-def attach(
-    left: DataFrame, right: DataFrame, on: Names, how: str = "inner"
-) -> DataFrame:
-    """Equi-join that keeps unmatched rows as ``how`` says: inner, left or full."""
-    if how not in ("inner", "left", "full"):
+def attach(left: DataFrame, right: DataFrame, on: Names, how: str = "inner") -> DataFrame:
+    """Equi-join that keeps unmatched rows as ``how`` says: inner, left or full.
+
+    A full join gathers all rows of a key in one task, and the skew handling
+    cannot split it.  So it is a left join, which can be split, and the rows of
+    the right table that matched nothing.
+    """
+    keys = as_names(on)
+    if how in ("inner", "left"):
+        return left.join(right, keys, how)
+    if how != "full":
         raise ValueError(f"unknown join {how!r}")
-    return left.join(right, as_names(on), how)
+    unmatched = never_matched(right, left, keys)
+    return left.join(right, keys, "left").unionByName(unmatched, allowMissingColumns=True)
 
 
 def pair_with_each(

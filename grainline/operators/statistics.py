@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from grainline.functions import total
 from grainline.functions._columns import Names, as_names
 from grainline.operators._joins import join_groups
+from grainline.operators.lookups import attach
 from grainline.operators.ordering import cumulative
 from grainline.operators.ranking import top_k_per_group
 
@@ -149,7 +150,7 @@ def reconcile(
     keys = as_names(key)
     ours = left.select(*keys, F.col(metric).alias(f"{left_name}_{metric}"))
     theirs = right.select(*keys, F.col(metric).alias(f"{right_name}_{metric}"))
-    joined = ours.join(theirs, keys, "full")
+    joined = attach(ours, theirs, keys, "full")
     a, b = F.col(f"{left_name}_{metric}"), F.col(f"{right_name}_{metric}")
     status = (
         F.when(a.isNull(), f"only_{right_name}").when(b.isNull(), f"only_{left_name}")

@@ -1,6 +1,7 @@
 """Joins, duplicates, hierarchies, balances, storage and data checks."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,20 @@ def test_unmatched_rows_on_both_sides(people, units, rows):
     assert rows(op.never_matched(people, units, "dept"), "id") == [(2,), (3,)]
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+def test_attach_equals_a_plain_join(spark, rows, how):
+    draw = random.Random(3)
+
+    def side(name, n, low, high):
+        keys = [draw.choice([None, 1, draw.randrange(low, high)]) for _ in range(n)]
+        return spark.createDataFrame(list(zip(keys, range(n))), f"k int, {name} int")
+
+    left, right = side("a", 200, 0, 60), side("b", 40, 30, 90)
+    found = op.attach(left, right, "k", how)
+    assert found.columns == ["k", "a", "b"]
+    assert rows(found) == rows(left.join(right, "k", how))
+
+
 def test_pairs_and_their_bound(people, units, rows):
     assert len(rows(op.pair_with_each(people, units.select("name")))) == 6
     with pytest.raises(ValueError):

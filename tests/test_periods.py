@@ -1,9 +1,15 @@
 """Roll-ups, previous periods, rolling measures, streaks, gaps and cohorts."""
 
+import random
+from datetime import date, timedelta
+
+import pytest
 from pyspark.sql import functions as F
 
 from grainline import operators as op
 
+FIRST = date(2023, 6, 1)
+
 MONTHS = "k string; m date; v decimal(18,2)"
 
 
@@ -144,6 +150,52 @@ def test_cohorts(frame, rows):
     ]
 
 
+def walk_runs(days, follows):
+    """Runs of a sorted list, found by walking over it."""
+    found, run = [], []
+    for day in days:
+        if run and not follows(run[-1], day):
+            found.append(run)
+            run = []
+        run.append(day)
+    return found + [run]
+
+
+@pytest.mark.parametrize("mode", ["activity", "growth"])
+def test_day_streaks_equal_a_walk_over_the_days(spark, rows, mode):
+    draw = random.Random(11)
+    data, expected = [], []
+    for key in range(30):
+        days = sorted(draw.sample(range(200), 150 if key == 0 else draw.randrange(1, 60)))
+        values = {day: draw.choice([1, 2, 3, 4, None]) for day in days}
+        data += [(key, FIRST + timedelta(d), v) for d, v in values.items()]
+
+        def follows(a, b):
+            rose = None not in (values[a], values[b]) and values[b] > values[a]
+            return b == a + 1 and (mode == "activity" or rose)
+
+        for run in walk_runs(days, follows):
+            length = len(run) - (mode == "growth")
+            if length >= 1:
+                ends = [(FIRST + timedelta(d)).isoformat() for d in (run[0], run[-1])]
+                expected.append((key, *ends, length))
+    df = spark.createDataFrame(data, "k int, d date, v int").repartition(5)
+    assert rows(op.streaks(df, "k", "d", "v", mode=mode, unit="day")) == sorted(expected)
+
+
+def test_gaps_equal_a_walk_over_the_days(spark, rows):
+    draw = random.Random(12)
+    data, expected = [], []
+    for key in range(30):
+        days = [draw.randrange(2000) for _ in range(500 if key == 0 else draw.randrange(1, 30))]
+        data += [(key, FIRST + timedelta(d)) for d in days]
+        steps = [b - a for a, b in zip(sorted(days), sorted(days)[1:]) if b - a >= 60]
+        if steps:
+            expected.append((key, max(steps), len(steps)))
+    df = spark.createDataFrame(data, "k int, d date")
+    assert rows(op.inactivity_gaps(df, "k", "d")) == sorted(expected)
+
+
 def test_growth_streak_is_shorter_than_activity_streak(spark, folder):
     from grainline.catalog import QUERIES
 
