@@ -1,8 +1,8 @@
 """Business views over the generated retail tables.
 
 Amounts are stored as doubles; each view turns them into decimals at the scan.
-A line costs at most fifty times the dearest part, about 105,000, so its amount
-fits eight digits; sums of such a column run on machine words.
+Line prices stay below 105,000 at every scale, so a line amount fits eight
+digits and is summed in machine words; a larger one would be an error.
 """
 
 from __future__ import annotations
