@@ -25,7 +25,8 @@ def top_k_per_group(
     ``row_number`` returns at most k rows a group; ``tie`` names the columns
     that order equal values.  Each task cuts its rows to k per group before
     the shuffle, so a large group never meets in one task.  Spark does so up to
-    a limit on k; beyond it the rows are numbered over range slices.
+    a limit on k; beyond it the rows are numbered over range slices.  ``out`` is
+    not a column of the frame yet.
 
     ``rank`` and ``dense_rank`` return every tied row.  Ties are unbounded, so
     the ranks are found on one row per distinct value and joined back.
