@@ -24,18 +24,18 @@ FROM marked GROUP BY conv_id
 
 TOPK = """
 WITH usable AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-        CAST(list_sum(list_transform(list_zip(q.ints, c.ints), z -> z[1] * z[2])) AS BIGINT) AS score
+        CAST(list_sum(list_transform(list_zip(q.ints, c.ints), lambda z: z[1] * z[2])) AS BIGINT) AS score
     FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
 )
-SELECT query_id, CAST(at AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS at FROM scored)
-WHERE at <= 10
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+WHERE place <= 10
 """
 
 STATEMENTS: dict[str, str] = {"op6_chat_turns": CHAT, "op8_exact_topk": TOPK}

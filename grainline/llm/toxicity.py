@@ -21,8 +21,12 @@ from grainline.llm.common import MIX, bound_batches, chunks, mixed, remainder, s
 #: Labelled rows of each class that the classifier is fitted on, at most.
 SAMPLE_PER_CLASS = 8192
 BITS = 20
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 0.5
+ALPHA, BETA = 1.0, 1.0
+#: Epochs, L1 and L2 of two fits: the first selects coordinates, the second is
+#: over those alone and shrinks them less.
+FITS = ((4, 4.0, 0.1), (20, 0.03, 0.01))
+#: A word also counts by its first bytes, as endings vary.
+STEMS = (4, 5)
 TOXIC_FROM = 0.7
 FOLDS, HELD_OUT = 3, 1
 
@@ -36,8 +40,8 @@ _PLAIN = bytes.maketrans(
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of consecutive texts and the text that each belongs to.
 
-    Words, pairs of neighbours, and pairs with one word between; bucket 0 is
-    left to the bias.
+    Words, their stems, pairs of neighbours, and pairs with one word between;
+    bucket 0 is left to the bias.
     """
     words = [t.translate(_PLAIN).split() for t in texts]
     starts = starts_of(np.array([len(w) for w in words], np.int64))
@@ -45,6 +49,11 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     h = np.fromiter((x for w in words for x in map(xxhash.xxh3_64_intdigest, w)), np.uint64, n)
     text = np.repeat(np.arange(len(texts)), np.diff(starts))
     found, owner = [h], [text]
+    for size in STEMS:
+        stems = (x[:size] for w in words for x in w)
+        stem = np.fromiter(map(xxhash.xxh3_64_intdigest, stems), np.uint64, n)
+        found.append(mixed(stem + np.uint64(16 * size)))
+        owner.append(text)
     for gap in (1, 2):
         if n > gap:
             together = text[:-gap] == text[gap:]
@@ -55,13 +64,22 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(bucket, 1).astype(np.int64), np.concatenate(owner)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
+def fit(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Weights after passing over the rows in order; a row holds its buckets."""
+    w = np.ones(1 << BITS)
+    for epochs, l1, l2 in FITS:
+        w[0] = 1  # the bias is always part of a fit
+        rows = [row[w[row] != 0] for row in rows]
+        w = _proximal(rows, labels, epochs, l1, l2)
+    return w
+
+
+def _proximal(rows: list[np.ndarray], labels: np.ndarray, epochs: int, l1: float, l2: float) -> np.ndarray:
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
 
     def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
-        shrunk = np.sign(z) * np.maximum(np.abs(z) - L1, 0)
-        return -shrunk / ((BETA + np.sqrt(n)) / ALPHA + L2)
+        shrunk = np.sign(z) * np.maximum(np.abs(z) - l1, 0)
+        return -shrunk / ((BETA + np.sqrt(n)) / ALPHA + l2)
 
     for _ in range(epochs):
         for row, label in zip(rows, labels, strict=True):
@@ -78,7 +96,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, labels = [], []
     for batch in batches:
         for text, label in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-            rows.append(np.union1d([0], features([text])[0]))
+            rows.append(np.union1d([0], features([text])[0]).astype(np.int32))
             labels.append(label)
     w = fit(rows, np.array(labels, float))
     kept = np.flatnonzero(w)
