@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainline.llm import bpe, chat, langid, mixing, quality, topk, toxicity
+from grainline.llm import bpe, chat, langid, mixing, quality, substring, suffixes, topk, toxicity
 from grainline.llm.common import read
 from grainline.llm.statements import STATEMENTS  # noqa: F401
 
@@ -23,6 +23,14 @@ def tokenizer_definition(name: str = TOKENIZER) -> bytes:
         return file.read()
 
 
+def op1_substring(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.deduplicated(read(spark, folder, "documents"))
+
+
+def op2_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.deduplicated(read(spark, folder, "documents"))
+
+
 def op3_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(read(spark, folder, "documents"))
 
@@ -60,6 +68,8 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring": op1_substring,
+    "op2_suffix_array": op2_suffix_array,
     "op3_language_mixture": op3_language_mixture,
     "op4_quality_ratio": op4_quality_ratio,
     "op6_chat_turns": op6_chat_turns,
