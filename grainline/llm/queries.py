@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainline.llm import bpe, chat, langid, mixing, quality, substring, suffixes, topk, toxicity
+from grainline.llm import bpe, chat, langid, mixing, probminhash, quality, substring, suffixes, topk, toxicity
 from grainline.llm.common import read
 from grainline.llm.statements import STATEMENTS  # noqa: F401
 
@@ -40,6 +40,10 @@ def op4_quality_ratio(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(read(spark, folder, "documents"), trusted)
 
 
+def op5_probminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return probminhash.near_duplicates(read(spark, folder, "documents"))
+
+
 def op6_chat_turns(spark: SparkSession, folder: str) -> DataFrame:
     own = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_array": op2_suffix_array,
     "op3_language_mixture": op3_language_mixture,
     "op4_quality_ratio": op4_quality_ratio,
+    "op5_probminhash": op5_probminhash,
     "op6_chat_turns": op6_chat_turns,
     "op7_temperature_mixture": op7_temperature_mixture,
     "op8_exact_topk": op8_exact_topk,

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainline.llm.common import MIX, bound_batches, chunks, id_or_last, mixed, starts_of, stored, texts_of
+from grainline.llm.common import MIX, NO_ID, bound_batches, chunks, id_or_last, mixed, starts_of, stored, texts_of
 
 #: Windows in a run, at most; a longer stretch makes several runs.
 RUN = 64
