@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainline.llm import repeats
@@ -180,14 +180,15 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[2:]], ["text", *batch.schema.names[2:]])
 
 
-_NONE = F.array().cast("array<struct<first:int,count:int>>")
+def _none() -> Column:
+    return F.array().cast("array<struct<first:int,count:int>>")
 
 
 def _listed(rows: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
     some, rest = repeats.with_lists(rows, repeated_spans(rows))
-    listed = F.coalesce("listed", _NONE).alias("listed")
+    listed = F.coalesce("listed", _none()).alias("listed")
     pick = lambda frame, third: frame.select(*(third if c == "listed" else c for c in columns))
-    return pick(some, listed), pick(rest, _NONE.alias("listed"))
+    return pick(some, listed), pick(rest, _none().alias("listed"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainline.llm import repeats
@@ -139,7 +139,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-_NONE = F.array().cast("array<struct<first:int,count:int>>")
+def _none() -> Column:
+    return F.array().cast("array<struct<first:int,count:int>>")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -155,6 +156,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     rows = repeats.rows_of(docs)
     some, rest = repeats.with_lists(rows, repeated_spans(rows))
-    some = some.select("doc_id", "text", F.coalesce("listed", _NONE).alias("listed"))
-    rest = rest.select("doc_id", "text", _NONE.alias("listed"))
+    some = some.select("doc_id", "text", F.coalesce("listed", _none()).alias("listed"))
+    rest = rest.select("doc_id", "text", _none().alias("listed"))
     return some.mapInArrow(_digest, SCHEMA).unionByName(rest.mapInArrow(_digest, SCHEMA))
