@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,14 +21,13 @@ from grainline.functions import (
     or_zero,
     total,
 )
-from grainline.session import shared_folder
+from grainline.session import session_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
 FULL_YEARS_END = "2001-01-01"
-RECENT_ORDERS_START = "2000-01-01"
 
 
 def register(query: Query) -> Query:
@@ -42,17 +40,11 @@ def _customer_months(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _product_months(spark: SparkSession, folder: str) -> DataFrame:
-    return op.period_revenue(src.line_sales(spark, folder, "product_id"), "product_id")
+    return op.period_revenue(src.product_sales(spark, folder), "product_id")
 
 
 def _seller_months(spark: SparkSession, folder: str) -> DataFrame:
-    return op.period_revenue(src.line_sales(spark, folder, "salesperson_id"), "salesperson_id")
-
-
-def _recent_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return src.orders(spark, folder).filter(
-        F.col("order_date") >= F.lit(RECENT_ORDERS_START).cast("date")
-    )
+    return op.period_revenue(src.seller_sales(spark, folder), "salesperson_id")
 
 
 # Roll-ups
@@ -70,7 +62,7 @@ def period_revenue(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def period_revenue_total(spark: SparkSession, folder: str) -> DataFrame:
     return op.period_revenue(
-        src.line_sales(spark, folder, "product_id"),
+        src.product_sales(spark, folder, dated=False),
         "product_id",
         grain=None,
         dim=src.dim_products(spark, folder),
@@ -81,7 +73,7 @@ def period_revenue_total(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def active_months(spark: SparkSession, folder: str) -> DataFrame:
-    sales = src.order_sales(spark, folder)
+    sales = src.sold_orders(spark, folder)
     return sales.select("customer_id", month_start("order_date").alias("sales_month")).distinct()
 
 
@@ -264,7 +256,7 @@ def compare_ranks(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def share_of_category(spark: SparkSession, folder: str) -> DataFrame:
     products = op.period_revenue(
-        src.line_sales(spark, folder, "product_id"),
+        src.product_sales(spark, folder, dated=False),
         "product_id",
         grain=None,
         dim=src.dim_products(spark, folder),
@@ -450,16 +442,28 @@ def staff_union_all(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def customers_with_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return op.matched(src.customers(spark, folder), _recent_orders(spark, folder), "customer_id")
+    return op.matched(src.customers(spark, folder), src.orders(spark, folder), "customer_id")
 
 
 @register
 def customers_without_orders(spark: SparkSession, folder: str) -> DataFrame:
     return op.never_matched(
-        src.customers(spark, folder), _recent_orders(spark, folder), "customer_id"
+        src.customers(spark, folder), src.orders(spark, folder), "customer_id"
     )
 
 
+@register
+def customers_without_events(spark: SparkSession, folder: str) -> DataFrame:
+    events = src.table(spark, folder, "events").select(F.col("user_id").alias("customer_id"))
+    return op.never_matched(src.customers(spark, folder), events, "customer_id")
+
+
+@register
+def orders_without_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = src.table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("order_id"))
+    return op.never_matched(src.orders(spark, folder), lines, "order_id")
+
+
 @register
 def employees_with_manager(spark: SparkSession, folder: str) -> DataFrame:
     named = op.hierarchy_parent(
@@ -494,12 +498,6 @@ def full_join_departments(spark: SparkSession, folder: str) -> DataFrame:
     return _with_department(spark, folder, "full")
 
 
-@register
-def every_employee_and_department(spark: SparkSession, folder: str) -> DataFrame:
-    staff = src.employees(spark, folder).select("emp_id", "emp_name")
-    return op.pair_with_each(staff, src.departments(spark, folder).select("dept_name"))
-
-
 # Filters, functions, parameters, storage
 
 
@@ -550,11 +548,11 @@ def balances_after_transfers(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def partitioned_sales(spark: SparkSession, folder: str) -> DataFrame:
     sales = src.orders(spark, folder).select(
-        F.col("order_id").cast("int").alias("sale_id"),
+        F.col("order_id").alias("sale_id"),
         F.col("order_date").alias("sale_date"),
-        F.col("amount").cast("decimal(12,2)").alias("revenue"),
+        F.col("amount").alias("revenue"),
     )
-    path = f"{shared_folder(spark)}/sales-{uuid.uuid4().hex}"
+    path = session_path(spark, "sales_by_month")
     src.write_by_month(sales, "sale_date", path)
     return src.read_months(spark, path, "sale_date", "1999-11-15", "2000-02-11")
 
@@ -637,6 +635,14 @@ def order_amount_outliers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def order_amount_outliers_usual_reach(spark: SparkSession, folder: str) -> DataFrame:
+    orders = src.orders(spark, folder).withColumn("sales_month", month_start("order_date"))
+    return op.iqr_outliers(orders, "sales_month", "amount", reach=1.5).select(
+        "order_id", "sales_month", "amount"
+    )
+
+
 @register
 def salary_z_scores(spark: SparkSession, folder: str) -> DataFrame:
     staff = src.employees(spark, folder).select("emp_id", "dept", "salary")
@@ -667,9 +673,18 @@ def sampled_orders(spark: SparkSession, folder: str) -> DataFrame:
     return op.keyed_sample(src.orders(spark, folder), "customer_id", 0.25)
 
 
+@register
+def stratified_orders(spark: SparkSession, folder: str) -> DataFrame:
+    heads = src.table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    return op.stratified_sample(
+        heads, "o_orderpriority", "o_orderkey", {"1-URGENT": 0.5, "2-HIGH": 0.25, "5-LOW": 0.125}
+    )
+
+
 @register
 def revenue_by_segment_and_region(spark: SparkSession, folder: str) -> DataFrame:
-    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    names = src.table(spark, folder, "region").select("r_name").distinct().orderBy("r_name")
+    regions = [row["r_name"] for row in names.filter("r_name IS NOT NULL").collect()]
     sales = op.period_revenue(
         src.order_sales(spark, folder),
         grain=None,
@@ -677,7 +692,7 @@ def revenue_by_segment_and_region(spark: SparkSession, folder: str) -> DataFrame
         attrs=["segment", "region"],
         revenue="revenue",
     )
-    return op.pivot_sum(sales, "segment", "region", regions, "revenue")
+    return op.pivot_sum(sales, "segment", "region", regions, "revenue", other="OTHER")
 
 
 @register
@@ -746,7 +761,7 @@ def report_customer_monthly_performance_two_rises(spark: SparkSession, folder: s
 @register
 def report_top_products(spark: SparkSession, folder: str) -> DataFrame:
     return plans.top_products(
-        src.line_sales(spark, folder, "product_id"), src.dim_products(spark, folder)
+        src.product_sales(spark, folder, dated=False), src.dim_products(spark, folder)
     )
 
 
@@ -781,16 +796,33 @@ def report_customer_lifecycle_activity(spark: SparkSession, folder: str) -> Data
 @register
 def report_product_dominance(spark: SparkSession, folder: str) -> DataFrame:
     return plans.product_dominance(
-        src.line_sales(spark, folder, "product_id"), src.dim_products(spark, folder)
+        src.product_sales(spark, folder), src.dim_products(spark, folder)
     )
 
 
 @register
 def report_salesperson_performance(spark: SparkSession, folder: str) -> DataFrame:
     return plans.salesperson_performance(
-        src.line_sales(spark, folder, "salesperson_id"),
+        src.seller_sales(spark, folder), src.dim_salespersons(spark, folder)
+    )
+
+
+@register
+def report_salesperson_performance_until_2001(spark: SparkSession, folder: str) -> DataFrame:
+    return plans.salesperson_performance(
+        src.seller_sales(spark, folder),
+        src.dim_salespersons(spark, folder),
+        as_of=FULL_YEARS_END,
+    )
+
+
+@register
+def report_salesperson_performance_extra(spark: SparkSession, folder: str) -> DataFrame:
+    return plans.salesperson_performance(
+        src.seller_sales(spark, folder),
         src.dim_salespersons(spark, folder),
         as_of=FULL_YEARS_END,
+        extra=True,
     )
 
 
@@ -811,14 +843,14 @@ def report_customer_retention(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def report_category_performance(spark: SparkSession, folder: str) -> DataFrame:
     return plans.category_performance(
-        src.line_sales(spark, folder, "product_id"), src.dim_products(spark, folder)
+        src.product_sales(spark, folder), src.dim_products(spark, folder)
     )
 
 
 @register
 def report_category_performance_18(spark: SparkSession, folder: str) -> DataFrame:
     return plans.category_performance(
-        src.line_sales(spark, folder, "product_id"),
+        src.product_sales(spark, folder),
         src.dim_products(spark, folder),
         min_share=18,
     )
@@ -827,7 +859,24 @@ def report_category_performance_18(spark: SparkSession, folder: str) -> DataFram
 @register
 def report_regional_performance(spark: SparkSession, folder: str) -> DataFrame:
     return plans.regional_performance(
-        src.line_sales(spark, folder, "salesperson_id"),
+        src.seller_sales(spark, folder), src.dim_salespersons(spark, folder)
+    )
+
+
+@register
+def report_regional_performance_until_2001(spark: SparkSession, folder: str) -> DataFrame:
+    return plans.regional_performance(
+        src.seller_sales(spark, folder),
+        src.dim_salespersons(spark, folder),
+        as_of=FULL_YEARS_END,
+    )
+
+
+@register
+def report_regional_performance_extra(spark: SparkSession, folder: str) -> DataFrame:
+    return plans.regional_performance(
+        src.seller_sales(spark, folder),
         src.dim_salespersons(spark, folder),
         as_of=FULL_YEARS_END,
+        extra=True,
     )

@@ -20,13 +20,13 @@ from grainline.functions.measures import (
     PERCENT,
     TOTAL,
     annual_salary,
+    exact,
     growth_flag,
     growth_pct,
     mean,
     money,
     or_zero,
     percent,
-    period_total,
     total,
 )
 
@@ -37,6 +37,7 @@ __all__ = [
     "TOTAL",
     "adjacent",
     "annual_salary",
+    "exact",
     "days_between",
     "growth_flag",
     "growth_pct",
@@ -51,7 +52,6 @@ __all__ = [
     "or_zero",
     "percent",
     "period_start",
-    "period_total",
     "quarter_of",
     "total",
     "units_between",

@@ -20,22 +20,27 @@ PERCENT = "decimal(18,2)"
 _RATIO = "decimal(38,10)"
 
 
-def money(amount: ColumnOrName) -> Column:
-    return as_column(amount).cast(MONEY)
-
+def exact(amount: ColumnOrName, kind: str) -> Column:
+    """``amount`` as a decimal; one that does not fit is an error in every session."""
+    given = as_column(amount)
+    made = given.try_cast(kind)
+    message = F.concat(F.lit(f"amount does not fit {kind}: "), given.cast("string"))
+    return F.when(made.isNotNull() | given.isNull(), made).otherwise(
+        F.raise_error(message).cast(kind)
+    )
 
-def period_total(amount: ColumnOrName) -> Column:
-    """Aggregate: exact sum over one entity and period.
 
-    Eighteen digits keep the value in a machine word for the windows and
-    aggregates that follow; a larger sum is an error, never a wrong value.
-    """
-    return F.sum(as_column(amount)).cast(MONEY)
+def money(amount: ColumnOrName) -> Column:
+    return exact(amount, MONEY)
 
 
 def total(amount: ColumnOrName) -> Column:
-    """Aggregate: exact sum of a money column over any number of rows."""
-    return F.sum(as_column(amount)).cast(TOTAL)
+    """Aggregate: exact sum of a money column over any number of rows.
+
+    The amounts are widened before they are summed; Spark gives a sum ten
+    digits more than its input has.
+    """
+    return F.sum(as_column(amount).cast(TOTAL)).cast(TOTAL)
 
 
 def mean(amount: ColumnOrName) -> Column:

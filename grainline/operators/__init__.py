@@ -19,7 +19,6 @@ from grainline.operators.lookups import (
     hierarchy_parent,
     matched,
     never_matched,
-    pair_with_each,
     roots,
 )
 from grainline.operators.ordering import (
@@ -60,6 +59,7 @@ from grainline.operators.statistics import (
     quantiles,
     reconcile,
     rule_violations,
+    stratified_sample,
     z_scores,
 )
 from grainline.operators.streaks import longest_streak, streaks, with_run_length
@@ -111,7 +111,6 @@ __all__ = [
     "never_matched",
     "nth_highest",
     "only_left",
-    "pair_with_each",
     "peers_of_max",
     "percent_of_total",
     "period_revenue",
@@ -127,6 +126,7 @@ __all__ = [
     "run_statement",
     "running",
     "share_of_group",
+    "stratified_sample",
     "streaks",
     "top_k",
     "top_k_per_group",

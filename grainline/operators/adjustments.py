@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainline.functions import TOTAL, or_zero, total
+from grainline.operators.lookups import never_matched
 
 
 def apply_adjustments(
@@ -18,13 +19,17 @@ def apply_adjustments(
     """Balances after all movements; accounts without one are unchanged.
 
     The movements are summed per account first, so one busy account is a single
-    row by the time it is joined.  The input stays as it is.
+    row by the time it is joined.  Movements of an account that has no balance
+    yet make up a row of their own, with NULL in all other columns, so nothing
+    that was paid is lost.  The input stays as it is.
     """
     moved = deltas.groupBy(key).agg(total(delta).alias("_moved"))
     joined = balances.join(moved, key, "left")
-    return joined.withColumn(
+    known = joined.withColumn(
         balance, (F.col(balance) + or_zero("_moved")).cast(TOTAL)
     ).drop("_moved")
+    opened = never_matched(moved, balances, key).select(key, F.col("_moved").alias(balance))
+    return known.unionByName(opened, allowMissingColumns=True)
 
 
 def transfers(

@@ -25,15 +25,16 @@ def cohort_shares(
     cohort: str = "cohort_month",
     total_out: str = "cohort_total_revenue",
     share_out: str = "cohort_revenue_percentage",
+    members: DataFrame | None = None,
 ) -> DataFrame:
     """Share of each entity in the revenue of its cohort.
 
-    Cohorts are month starts, so their totals are at most twelve rows a year
-    and are sent to every executor; the entities, which may nearly all sit in
-    one cohort, are not moved.
+    The totals are a partial aggregate of ``members``, which are the entities
+    themselves unless they are known from fewer columns or joins.
     """
-    totals = entities.groupBy(cohort).agg(total(value).alias(total_out))
-    joined = join_groups(entities, F.broadcast(totals), cohort)
+    counted = entities if members is None else members
+    totals = counted.groupBy(cohort).agg(total(value).alias(total_out))
+    joined = join_groups(entities, totals, cohort)
     return joined.withColumn(share_out, percent(value, total_out))
 
 

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainline.session import stable
-
-_MAX_ROUNDS = 40
+from grainline.session import discard, session_path, written
 
 
 def hierarchy_levels(df: DataFrame, key: str, parent: str) -> DataFrame:
@@ -16,21 +14,31 @@ def hierarchy_levels(df: DataFrame, key: str, parent: str) -> DataFrame:
     Every round doubles the distance that a row has climbed, so a chain of a
     thousand parents takes ten joins.  Rows that have reached a top leave the
     join; they would all meet at the keys of the few tops.  A parent that is
-    not in the table counts as a top.
+    not in the table counts as a top.  A round is written to a folder that all
+    executors share and removed when the next one is there; kept in memory
+    alone, its plan would treble with every round.
+
+    A row that still climbs has parents at every smaller distance from its top,
+    so some rows arrive in each round.  If none does, the rest is on a cycle.
     """
+    spark = df.sparkSession
     at_top = F.col(parent).isNull()
-    state = stable(
-        df.select(
-            key,
-            F.coalesce(parent, key).alias("top"),
-            F.when(at_top, 0).otherwise(1).cast("bigint").alias("level"),
-            at_top.alias("_done"),
-        )
+    state = df.select(
+        key,
+        F.coalesce(parent, key).alias("top"),
+        F.when(at_top, 0).otherwise(1).cast("bigint").alias("level"),
+        at_top.alias("_done"),
     )
-    for _ in range(_MAX_ROUNDS):
+    path = session_path(spark, "levels")
+    state, left = written(state, path), None
+    while True:
         climbing = state.filter(~F.col("_done"))
-        if climbing.isEmpty():
+        before, left = left, climbing.count()
+        if not left:
             return state.drop("_done")
+        if left == before:
+            discard(spark, path)
+            raise ValueError(f"the chains of {parent!r} do not end; they contain a cycle")
         reached = state.select(
             F.col(key).alias("_key"),
             F.col("top").alias("_top"),
@@ -43,5 +51,6 @@ def hierarchy_levels(df: DataFrame, key: str, parent: str) -> DataFrame:
             (F.col("level") + F.coalesce("_level", F.lit(0))).alias("level"),
             F.coalesce("_reached", F.lit(True)).alias("_done"),
         )
-        state = stable(state.filter("_done").unionByName(moved))
-    raise ValueError(f"the chains of {parent!r} do not end; they contain a cycle")
+        old, path = path, session_path(spark, "levels")
+        state = written(state.filter("_done").unionByName(moved), path)
+        discard(spark, old)

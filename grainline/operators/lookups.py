@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from grainline.functions._columns import Names, as_names
 
-EVERY_PAIR_ROWS = 10_000
-
 
 def attach(left: DataFrame, right: DataFrame, on: Names, how: str = "inner") -> DataFrame:
     """Equi-join that keeps unmatched rows as ``how`` says: inner, left or full.
@@ -26,23 +24,6 @@ def attach(left: DataFrame, right: DataFrame, on: Names, how: str = "inner") ->
     return left.join(right, keys, "left").unionByName(unmatched, allowMissingColumns=True)
 
 
-def pair_with_each(
-    left: DataFrame, small: DataFrame, max_rows: int = EVERY_PAIR_ROWS
-) -> DataFrame:
-    """Every row of ``left`` with every row of a small table.
-
-    The small table is checked to hold at most ``max_rows`` rows and is then
-    unfolded inside each left row, so the left table is neither moved nor
-    repeated per task.  A larger table is refused: the caller has to raise the
-    bound knowingly.
-    """
-    if small.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"the table to pair with has more than {max_rows} rows")
-    listed = small.agg(F.collect_list(F.struct(*small.columns))).scalar()
-    paired = left.withColumn("_pair", F.explode(listed))
-    return paired.select(*left.columns, *[F.col("_pair")[c].alias(c) for c in small.columns])
-
-
 def matched(left: DataFrame, right: DataFrame, on: Names) -> DataFrame:
     """Rows of ``left`` with at least one match."""
     keys = as_names(on)

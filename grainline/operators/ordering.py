@@ -1,8 +1,10 @@
 """Numbering and running sums over one global order.
 
-A window without partition keys sends every row to one task.  Here rows are
-range-partitioned by the order itself, each slice is handled on its own, and
-one small row per slice carries what came before it.
+A window without partition keys sends every row to one task.  Here rows are cut
+into slices of the order itself, each slice is handled on its own, and one small
+row per slice carries what came before it.  The bounds of the slices are drawn
+once from a sample; after that a row's slice depends on the row alone, so nothing
+has to be written and a task that is run again gives the same rows.
 """
 
 from __future__ import annotations
@@ -15,46 +17,89 @@ from pyspark.sql import types as T
 from grainline.functions import TOTAL, total
 from grainline.functions._columns import Names, as_names
 from grainline.operators._joins import join_groups
-from grainline.session import stable
 
-_POSITION_BITS = 33
-
-
-def _sliced(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Sorted range slices, written once so that slice and position stay fixed.
-
-    ``_at`` holds the slice number in its upper bits and the position inside
-    the slice below them.
+#: Slices at most; a row finds its slice in ten comparisons.
+SLICES = 1024
+#: Rows of the sample for each slice.
+DRAWN = 32
+
+
+def sort_columns(order: list[str]) -> list[Column]:
+    """Sort order of column names; ``-`` in front is descending, NULL comes last."""
+    return [
+        F.col(name[1:]).desc_nulls_last() if name.startswith("-") else F.col(name).asc_nulls_last()
+        for name in order
+    ]
+
+
+def _ascending(df: DataFrame, order: list[str]) -> Column:
+    """A struct that sorts ascending as ``order`` does."""
+    fields = []
+    for i, name in enumerate(order):
+        column = F.col(name.removeprefix("-"))
+        kind = df.schema[name.removeprefix("-")].dataType
+        value = column
+        if name.startswith("-"):
+            if isinstance(kind, T.DateType):
+                value = -F.unix_date(column)
+            elif isinstance(kind, T.NumericType):
+                value = -column
+            else:
+                raise TypeError(f"{name[1:]!r} is no number or date and can't be descending")
+        fields += [column.isNull().alias(f"n{i}"), value.alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def _sliced(df: DataFrame, order: list[str]) -> DataFrame:
+    """Add ``_slice``, the number of the slice that a row belongs to.
+
+    The sample holds the rows with the least hashes, a bounded number.  The
+    whole order makes up a bound, so a value that fills many slices, NULL
+    included, is cut by the columns after it.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    written = stable(ranged.withColumn("_at", F.monotonically_increasing_id()))
-    return written.withColumn("_slice", F.shiftright("_at", _POSITION_BITS))
-
-
-def global_row_number(df: DataFrame, order: list[Column], out: str = "row_num") -> DataFrame:
+    slices = min(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = df.select(_ascending(df, order).alias("k"))
+    drawn = keys.orderBy(F.xxhash64("k"), "k").limit(slices * DRAWN)
+    rows = [r["k"] for r in drawn.orderBy("k").collect()]
+    bounds = [rows[len(rows) * i // slices] for i in range(1, slices)] if rows else []
+    kinds = keys.schema["k"].dataType.fields
+    mine = _ascending(df, order)
+
+    def at(low: int, high: int) -> Column:
+        """Number of bounds up to the row, which lies between two of them."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        bound = F.struct(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(bounds[middle], kinds)]
+        )
+        return F.when(mine < bound, at(low, middle)).otherwise(at(middle + 1, high))
+
+    return df.withColumn("_slice", at(0, len(bounds)))
+
+
+def global_row_number(df: DataFrame, order: list[str], out: str = "row_num") -> DataFrame:
     """``ROW_NUMBER`` over all rows; ``order`` has to end in a unique column."""
     sliced = _sliced(df, order)
     sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_size"))
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    # One row per range partition, whatever the table holds.
+    # One row per slice, whatever the table holds.
     starts = sizes.select(
         "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
     )
-    position = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return (
-        sliced.join(F.broadcast(starts), "_slice")
-        .withColumn(out, F.col("_start") + position + 1)
-        .drop("_slice", "_start", "_at")
+    inside = F.row_number().over(W.partitionBy("_slice").orderBy(*sort_columns(order)))
+    numbered = sliced.withColumn("_inside", inside).join(F.broadcast(starts), "_slice")
+    return numbered.withColumn(out, F.col("_start") + F.col("_inside")).drop(
+        "_slice", "_start", "_inside"
     )
 
 
 def group_row_number(
-    df: DataFrame, group: Names, order: list[Column], out: str = "row_num"
+    df: DataFrame, group: Names, order: list[str], out: str = "row_num"
 ) -> DataFrame:
     """``ROW_NUMBER`` inside each group without gathering a group in one task."""
     groups = as_names(group)
-    ascending = [F.col(g).asc_nulls_last() for g in groups]
-    numbered = global_row_number(df, [*ascending, *order], "_overall")
+    numbered = global_row_number(df, [*groups, *order], "_overall")
     firsts = numbered.groupBy(*groups).agg(F.min("_overall").alias("_first"))
     placed = join_groups(numbered, firsts, groups)
     return placed.withColumn(out, F.col("_overall") - F.col("_first") + 1).drop(
@@ -76,10 +121,9 @@ def compare_ranks(
     tied rows.  A rank is the first row number of its value; a dense rank is
     the row number among the distinct values.
     """
-    highest_first = F.col(value).desc_nulls_last()
-    numbered = global_row_number(df, [highest_first, F.col(key).asc()], row_number)
+    numbered = global_row_number(df, [f"-{value}", key], row_number)
     values = numbered.groupBy(value).agg(F.min(row_number).alias(rank))
-    ranked = global_row_number(values, [highest_first], dense_rank)
+    ranked = global_row_number(values, [f"-{value}"], dense_rank)
     return join_groups(numbered, ranked, value)
 
 
@@ -123,8 +167,8 @@ def _sliced_running_sum(
     Slices are ranges of (key, order): a key that does not fit into one goes on
     in the next.  So at most one key per slice has anything carried into it.
     """
-    sliced = _sliced(df, [F.col(c).asc_nulls_last() for c in (*keys, order)])
-    inside = _up_to_here(W.partitionBy("_slice", *keys).orderBy("_at"))
+    sliced = _sliced(df, [*keys, order])
+    inside = _up_to_here(W.partitionBy("_slice", *keys).orderBy(*sort_columns([order])))
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     carried = (
         sliced.groupBy("_slice", *keys)
@@ -138,4 +182,4 @@ def _sliced_running_sum(
     running = F.when(F.col("_carried").isNull(), F.col("_inside")).otherwise(
         F.col("_carried") + F.coalesce("_inside", F.lit(0))
     )
-    return sums.withColumn(out, running.cast(TOTAL)).drop("_slice", "_at", "_inside", "_carried")
+    return sums.withColumn(out, running.cast(TOTAL)).drop("_slice", "_inside", "_carried")

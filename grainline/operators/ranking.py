@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from grainline.functions._columns import Names, as_names
 from grainline.operators._joins import join_groups
-from grainline.operators.ordering import group_row_number
+
+#: Rows per group that Spark keeps in each task before a shuffle, at most.
+CUT = 1000
 
 
 def top_k_per_group(
@@ -23,28 +25,28 @@ def top_k_per_group(
     """The rows with the ``k`` highest values of each group, with their rank.
 
     ``row_number`` returns at most k rows a group; ``tie`` names the columns
-    that order equal values.  Each task cuts its rows to k per group before
-    the shuffle, so a large group never meets in one task.  Spark does so up to
-    a limit on k; beyond it the rows are numbered over range slices.  ``out`` is
-    not a column of the frame yet.
+    that order equal values.  ``rank`` and ``dense_rank`` return every tied row.
+    Ties are unbounded, so the ranks are found on one row per distinct value and
+    joined back.  ``out`` is not a column of the frame yet.
 
-    ``rank`` and ``dense_rank`` return every tied row.  Ties are unbounded, so
-    the ranks are found on one row per distinct value and joined back.
+    Up to a thousand Spark cuts each task's rows to k per group before the
+    shuffle.  A larger k cuts a group in as many parts as it has thousands
+    first, so that no task holds more than a part or the candidates of all.
     """
     groups = as_names(group)
-    window = W.partitionBy(*groups).orderBy(F.col(value).desc_nulls_last())
+    highest_first = F.col(value).desc_nulls_last()
     if method == "row_number":
-        ties = [F.col(t).asc_nulls_last() for t in as_names(tie)]
-        order = [F.col(value).desc_nulls_last(), *ties]
-        if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
-            numbered = group_row_number(df, groups, order, out)
-            return numbered.filter(F.col(out) <= k).withColumn(out, F.col(out).cast("int"))
-        ordered = W.partitionBy(*groups).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(ordered)).filter(F.col(out) <= k)
+        ties = as_names(tie)
+        order = [highest_first, *[F.col(t).asc_nulls_last() for t in ties]]
+        candidates = _candidates(df, groups, order, [value, *ties], k)
+        number = F.row_number().over(W.partitionBy(*groups).orderBy(*order))
+        return candidates.withColumn(out, number).filter(F.col(out) <= k)
     if method not in ("rank", "dense_rank"):
         raise ValueError(f"unknown method {method!r}")
+    window = W.partitionBy(*groups).orderBy(highest_first)
     values = df.groupBy(*groups, value).agg(F.count("*").alias("_n"))
-    ranked = values.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= k)
+    candidates = _candidates(values, groups, [highest_first], [value], k)
+    ranked = candidates.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= k)
     if method == "rank":
         before = F.sum("_n").over(window.rowsBetween(W.unboundedPreceding, -1))
         rank = (F.coalesce(before, F.lit(0)) + 1).cast("int")
@@ -52,6 +54,19 @@ def top_k_per_group(
     return join_groups(df, ranked.drop("_n"), [*groups, value])
 
 
+def _candidates(
+    df: DataFrame, groups: list[str], order: list[Column], spread: list[str], k: int
+) -> DataFrame:
+    """Rows that are among the first k of a part of their group."""
+    parts = k // CUT
+    if not parts:
+        return df
+    part = F.pmod(F.xxhash64(*spread), F.lit(parts + 1))
+    place = F.row_number().over(W.partitionBy(*groups, "_part").orderBy(*order))
+    placed = df.withColumn("_part", part).withColumn("_place", place)
+    return placed.filter(F.col("_place") <= k).drop("_part", "_place")
+
+
 def top_k(df: DataFrame, value: str, k: int, tie: Names = ()) -> DataFrame:
     """The ``k`` highest rows overall, kept as a small heap in every task."""
     ties = [F.col(t).asc_nulls_last() for t in as_names(tie)]

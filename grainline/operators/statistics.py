@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from grainline.functions import total
 from grainline.functions._columns import Names, as_names
 from grainline.operators._joins import join_groups
-from grainline.operators.lookups import attach
 from grainline.operators.ordering import cumulative
 from grainline.operators.ranking import top_k_per_group
 
@@ -36,7 +35,7 @@ def quantiles(df: DataFrame, group: Names, value: str, levels: dict[str, float])
     present = df.filter(F.col(value).isNotNull())
     counts = present.groupBy(*groups, value).agg(F.count("*").alias("_n"))
     placed = cumulative(counts, value, "_n", groups, out="_upto", unique=True)
-    sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
+    sizes = placed.groupBy(*groups).agg(F.max("_upto").alias("_size"))
     placed = join_groups(placed, sizes, groups)
     number = F.col(value).cast("double")
 
@@ -118,15 +117,38 @@ def keyed_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
     return df.filter(drawn)
 
 
+def stratified_sample(
+    df: DataFrame, stratum: str, key: str, fractions: dict[str, float]
+) -> DataFrame:
+    """``keyed_sample`` with a fraction of its own for each stratum; rows of a
+    stratum that is not listed are left out.
+    """
+    digest = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
+    place = F.conv(digest, 16, 10).cast("bigint")
+    bound = F.lit(0)
+    for name, fraction in fractions.items():
+        bound = F.when(F.col(stratum) == name, int(fraction * (1 << 32))).otherwise(bound)
+    return df.filter(place < bound)
+
+
 def pivot_sum(
-    df: DataFrame, rows: Names, column: str, values: list[str], amount: str
+    df: DataFrame,
+    rows: Names,
+    column: str,
+    values: list[str],
+    amount: str,
+    other: str | None = None,
 ) -> DataFrame:
     """Sums with one output column per listed value of ``column``.
 
     Written as conditional sums: one partial aggregate, and the output schema
-    does not depend on the data.
+    does not depend on the data.  ``other`` names a column for all values that
+    are not listed, NULL included.
     """
     sums = [total(F.when(F.col(column) == v, F.col(amount))).alias(v) for v in values]
+    if other is not None:
+        listed = F.coalesce(F.col(column).isin(*values), F.lit(False))
+        sums.append(total(F.when(~listed, F.col(amount))).alias(other))
     return df.groupBy(*as_names(rows)).agg(*sums)
 
 
@@ -146,17 +168,27 @@ def reconcile(
     left_name: str = "left",
     right_name: str = "right",
 ) -> DataFrame:
-    """Keys on which two tables disagree about a metric, with the difference."""
+    """Keys on which two tables disagree about a metric, with the difference.
+
+    Each table has one row per key.  Both are read once and meet in one
+    aggregate; a key that is missing on one side counts like a NULL there.
+    """
     keys = as_names(key)
-    ours = left.select(*keys, F.col(metric).alias(f"{left_name}_{metric}"))
-    theirs = right.select(*keys, F.col(metric).alias(f"{right_name}_{metric}"))
-    joined = attach(ours, theirs, keys, "full")
-    a, b = F.col(f"{left_name}_{metric}"), F.col(f"{right_name}_{metric}")
+    a, b = f"{left_name}_{metric}", f"{right_name}_{metric}"
+    nothing = F.lit(None).cast(left.schema[metric].dataType)
+
+    def side(df: DataFrame, own: str, other: str) -> DataFrame:
+        empty = nothing.alias(other)
+        return df.select(*keys, F.col(metric).alias(own), empty).select(*keys, a, b)
+
+    both = side(left, a, b).unionByName(side(right, b, a))
+    joined = both.groupBy(*keys).agg(F.max(a).alias(a), F.max(b).alias(b))
+    ours, theirs = F.col(a), F.col(b)
     status = (
-        F.when(a.isNull(), f"only_{right_name}").when(b.isNull(), f"only_{left_name}")
+        F.when(ours.isNull(), f"only_{right_name}").when(theirs.isNull(), f"only_{left_name}")
         .otherwise("different")
     )
     zero = F.lit(0)
-    return joined.filter(~a.eqNullSafe(b)).withColumns(
-        {"difference": F.coalesce(a, zero) - F.coalesce(b, zero), "status": status}
+    return joined.filter(~ours.eqNullSafe(theirs)).withColumns(
+        {"difference": F.coalesce(ours, zero) - F.coalesce(theirs, zero), "status": status}
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from grainline.functions import growth_pct, month_start, period_total, total, units_between
+from grainline.functions import growth_pct, month_start, total, units_between
 from grainline.operators import (
     cohort_shares,
     period_revenue,
@@ -101,7 +101,7 @@ def _activity_profiles(daily: DataFrame, min_gap_days: int, return_months: int)
         daily.withColumn("_gap", gap)
         .groupBy(KEY, month_start("order_day").alias("sales_month"))
         .agg(
-            period_total("day_revenue").alias("monthly_revenue"),
+            total("day_revenue").alias("monthly_revenue"),
             F.max("_gap").alias("_gap"),
             F.count_if(F.col("_gap") >= min_gap_days).alias("_long_gaps"),
         )
@@ -226,7 +226,9 @@ def customer_cohorts(fact: DataFrame, dim: DataFrame, extra: bool = False) -> Da
     ]
     if extra:
         columns.append((F.col("longest_purchase_streak") >= 3).alias("has_3_month_streak"))
-    return _settled(cohort_shares(known).select(*columns)).orderBy(KEY)
+    members = customers.join(dim.select(KEY), KEY, "left_semi")
+    shared = cohort_shares(known, members=members)
+    return _settled(shared.select(*columns)).orderBy(KEY)
 
 
 def customer_retention(

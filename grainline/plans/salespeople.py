@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainline.functions import growth_pct, period_total, quarter_of, total, year_of
+from grainline.functions import growth_pct, quarter_of, total, year_of
 from grainline.operators import (
     period_revenue,
     rolling,
@@ -57,13 +57,13 @@ def salesperson_performance(
     quarters = rows.groupBy(
         KEY, year_of("sales_month").alias("sales_year"), quarter_of("sales_month").alias("quarter")
     ).agg(
-        period_total("monthly_revenue").alias("quarterly_revenue"),
+        total("monthly_revenue").alias("quarterly_revenue"),
         F.max("run_length").alias("run_length"),
         *[latest(c, "sales_month") for c in carried],
     )
     earliest_best = F.struct("quarterly_revenue", -F.col("quarter"))
     years = quarters.groupBy(KEY, "sales_year").agg(
-        period_total("quarterly_revenue").alias("yearly_revenue"),
+        total("quarterly_revenue").alias("yearly_revenue"),
         F.max("quarterly_revenue").alias("best_revenue"),
         F.max_by("quarter", earliest_best).alias("best_quarter"),
         F.max("run_length").alias("run_length"),

@@ -1,8 +1,8 @@
-"""Session settings the operators are written for, and durable cut points."""
+"""Session settings the operators are written for, and folders of a session."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +11,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
 }
 
 
@@ -24,28 +25,30 @@ def tuned_builder(master: str | None = None, **settings: str) -> SparkSession.Bu
     return builder
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor reaches; the session names it.
+def session_path(spark: SparkSession, name: str) -> str:
+    """A new folder where all executors reach it, removed when the session's JVM ends.
 
-    Only a session on one machine may go without the setting.
+    It lies in ``spark.checkpoint.dir``, or in the warehouse if that isn't set.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-    return tempfile.mkdtemp(prefix="grainline-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place, system = _place(spark, path)
+    system.deleteOnExit(place)
+    return path
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once and go on from the written rows.
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a folder and read back, which cuts its plan there."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Needed where a column depends on how rows were laid out over partitions:
-    after this, a lost executor or a second use of the frame reads the same
-    values again.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that is no longer read."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -12,10 +12,12 @@ from grainline.sources.views import (
     dim_products,
     dim_salespersons,
     employees,
-    line_sales,
     order_sales,
     orders,
+    product_sales,
     region_sales,
+    seller_sales,
+    sold_orders,
     staff_of_year,
     transfer_requests,
 )
@@ -30,11 +32,13 @@ __all__ = [
     "dim_products",
     "dim_salespersons",
     "employees",
-    "line_sales",
     "order_sales",
     "orders",
+    "product_sales",
     "read_months",
     "region_sales",
+    "seller_sales",
+    "sold_orders",
     "staff_of_year",
     "table",
     "transfer_requests",

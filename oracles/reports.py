@@ -105,19 +105,19 @@ def product_dominance(min_share: int, average_name: str, with_total: bool) -> st
     )
 
 
-def salesperson(with_rolling: bool) -> str:
+def salesperson(with_rolling: bool, until: str | None = None, extra: bool = False) -> str:
     return (
         with_views("sales", "sellers")
-        + """,
+        + f""",
         seller_months AS (
             SELECT salesperson_id, CAST(date_trunc('month', order_date) AS DATE) AS m,
-                   CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS v
-            FROM sales WHERE order_date < DATE '2001-01-01' GROUP BY ALL)"""
+                   CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS v
+            FROM sales {f"WHERE order_date < DATE '{until}'" if until else ''} GROUP BY ALL)"""
         + _growth_profile("seller_months", "salesperson_id")
         + f""",
         years AS (
             SELECT salesperson_id, CAST(year(m) AS INTEGER) AS y,
-                   CAST(SUM(v) AS DECIMAL(18,2)) AS yv
+                   CAST(SUM(v) AS DECIMAL(28,2)) AS yv
             FROM seller_months GROUP BY ALL),
         last_two AS (
             SELECT salesperson_id, MAX(y) AS y, arg_max(yv, y) AS yv, arg_max(yv, y, 2)[2] AS pyv
@@ -125,7 +125,7 @@ def salesperson(with_rolling: bool) -> str:
         quarters AS (
             SELECT DISTINCT ON (salesperson_id) salesperson_id, q, qv FROM (
                 SELECT salesperson_id, year(m) AS y, CAST(quarter(m) AS INTEGER) AS q,
-                       CAST(SUM(v) AS DECIMAL(18,2)) AS qv
+                       CAST(SUM(v) AS DECIMAL(28,2)) AS qv
                 FROM seller_months GROUP BY ALL)
             ORDER BY salesperson_id, qv DESC, y, q),
         regions AS (
@@ -139,6 +139,7 @@ def salesperson(with_rolling: bool) -> str:
         SELECT salesperson_id, salesperson_name, region, longest AS longest_growth_streak,
                y AS sales_year, yv AS yearly_revenue, {pct('yv - pyv', 'pyv')} AS yoy_growth,
                {'rolling_3_month_revenue,' if with_rolling else ''}
+               {f"{pct('last_v - last_pv', 'last_pv')} AS mom_growth," if extra else ''}
                q AS sales_quarter, qv AS highest_quarterly_revenue,
                {pct('lifetime', 'whole')} AS regional_contribution_pct,
                CAST(ROW_NUMBER() OVER (PARTITION BY region ORDER BY yv DESC, salesperson_id)
@@ -264,9 +265,13 @@ REPORTS = {
     "report_customer_lifecycle_activity": customer_lifecycle(3, "activity"),
     "report_product_dominance": product_dominance(10, "category_avg_revenue", True),
     "report_salesperson_performance": salesperson(with_rolling=False),
+    "report_salesperson_performance_until_2001": salesperson(False, "2001-01-01"),
+    "report_salesperson_performance_extra": salesperson(False, "2001-01-01", extra=True),
     "report_customer_cohorts": COHORTS,
     "report_customer_retention": RETENTION,
     "report_category_performance": product_dominance(15, "category_average_revenue", False),
     "report_category_performance_18": product_dominance(18, "category_average_revenue", False),
     "report_regional_performance": salesperson(with_rolling=True),
+    "report_regional_performance_until_2001": salesperson(True, "2001-01-01"),
+    "report_regional_performance_extra": salesperson(True, "2001-01-01", extra=True),
 }

@@ -30,12 +30,12 @@ OPERATORS = {
         FROM sales""",
     "revenue_by_year": with_views("sales") + """
         SELECT salesperson_id, CAST(year(order_date) AS INTEGER) AS sales_year,
-               CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS yearly_revenue
+               CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS yearly_revenue
         FROM sales GROUP BY ALL""",
     "revenue_by_quarter": with_views("sales") + """
         SELECT salesperson_id, CAST(year(order_date) AS INTEGER) AS sales_year,
                CAST(quarter(order_date) AS INTEGER) AS sales_quarter,
-               CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS quarterly_revenue
+               CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS quarterly_revenue
         FROM sales GROUP BY ALL""",
     "sales_summary": with_views("placed") + f"""
         SELECT COUNT(*) AS order_count, CAST(SUM(amount) AS DECIMAL(28,2)) AS total_amount,
@@ -115,7 +115,7 @@ OPERATORS = {
     "best_quarter": with_views("sales") + """,
         q AS (SELECT salesperson_id, CAST(year(order_date) AS INTEGER) AS sales_year,
                      CAST(quarter(order_date) AS INTEGER) AS sales_quarter,
-                     CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS quarterly_revenue
+                     CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS quarterly_revenue
               FROM sales GROUP BY ALL)
         SELECT DISTINCT ON (salesperson_id) salesperson_id, sales_year, sales_quarter,
                quarterly_revenue
@@ -185,7 +185,7 @@ OPERATORS = {
         FROM c WINDOW w AS (PARTITION BY cohort_month)""",
     "yoy": with_views("sales") + f""",
         y AS (SELECT salesperson_id, CAST(year(order_date) AS INTEGER) AS sales_year,
-                     CAST(SUM(sales_amount) AS DECIMAL(18,2)) AS yearly_revenue
+                     CAST(SUM(sales_amount) AS DECIMAL(28,2)) AS yearly_revenue
               FROM sales GROUP BY ALL)
         SELECT y.*, p.yearly_revenue AS previous_year_revenue,
                {pct('y.yearly_revenue - p.yearly_revenue', 'p.yearly_revenue')} AS yoy_growth
@@ -238,15 +238,18 @@ OPERATORS = {
                COUNT(*) * CAST(100 AS DOUBLE) / (SELECT COUNT(*) FROM staff)
                    AS employee_percentage
         FROM staff GROUP BY dept""",
-    "customers_with_orders": with_views("placed") + """
+    "customers_with_orders": """
         SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer
-        WHERE c_custkey IN (
-            SELECT customer_id FROM placed WHERE order_date >= DATE '2000-01-01')""",
-    "customers_without_orders": with_views("placed") + """
+        WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
+    "customers_without_orders": """
         SELECT c_custkey AS customer_id, c_name AS customer_name
-        FROM customer ANTI JOIN
-             (SELECT * FROM placed WHERE order_date >= DATE '2000-01-01') o
-             ON c_custkey = o.customer_id""",
+        FROM customer ANTI JOIN orders ON c_custkey = o_custkey""",
+    "customers_without_events": """
+        SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer
+        WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""",
+    "orders_without_lines": with_views("placed") + """
+        SELECT * FROM placed WHERE NOT EXISTS (
+            SELECT 1 FROM lineitem WHERE l_orderkey = order_id)""",
     "peers_of_highest_paid": with_views("staff") + """
         SELECT emp_id, emp_name, dept FROM staff
         QUALIFY MAX(salary) OVER (PARTITION BY dept) = MAX(salary) OVER ()""",
@@ -267,8 +270,6 @@ OPERATORS = {
         SELECT emp_id, emp_name, dept_name FROM staff LEFT JOIN units USING (dept_id)""",
     "full_join_departments": with_views("staff", "units") + """
         SELECT emp_id, emp_name, dept_name FROM staff FULL JOIN units USING (dept_id)""",
-    "every_employee_and_department": with_views("staff", "units") + """
-        SELECT emp_id, emp_name, dept_name FROM staff CROSS JOIN units""",
     "departments_above_average_salary": with_views("staff") + f"""
         SELECT dept, {avg6('SUM(salary)', 'COUNT(salary)')} AS avg_salary FROM staff
         GROUP BY dept HAVING SUM(salary) > 4500 * COUNT(salary)""",
@@ -286,8 +287,7 @@ OPERATORS = {
     "orders_in_year": with_views("placed") + """
         SELECT * FROM placed WHERE year(order_date) = 2000""",
     "partitioned_sales": with_views("placed") + """
-        SELECT CAST(order_id AS INTEGER) AS sale_id, order_date AS sale_date,
-               CAST(amount AS DECIMAL(12,2)) AS revenue
+        SELECT order_id AS sale_id, order_date AS sale_date, amount AS revenue
         FROM placed WHERE order_date BETWEEN DATE '1999-11-15' AND DATE '2000-02-10'""",
     "annual_salaries": with_views("staff") + """
         SELECT emp_id, CAST(salary * 12 AS DECIMAL(12,2)) AS annual_salary FROM staff""",
@@ -301,11 +301,10 @@ OPERATORS = {
             FROM orders
             UNION ALL
             SELECT xor(o_custkey, 1), CAST(o_totalprice AS DECIMAL(18,2)) FROM orders)
-        SELECT c_custkey AS account_id,
-               CAST(CAST(c_acctbal AS DECIMAL(18,2)) + COALESCE((
-                   SELECT SUM(delta) FROM moves WHERE account_id = c_custkey), 0)
-                   AS DECIMAL(28,2)) AS balance
-        FROM customer""",
+        SELECT account_id, CAST(SUM(delta) AS DECIMAL(28,2)) AS balance
+        FROM (SELECT * FROM moves UNION ALL
+              SELECT c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) FROM customer)
+        GROUP BY account_id""",
 }
 
 STATEMENTS = {**OPERATORS, **TOPICS, **REPORTS}

@@ -62,6 +62,14 @@ TOPICS = {
         SELECT order_id, sales_month, amount FROM m NATURAL JOIN q
         WHERE NOT CAST(amount AS DOUBLE) BETWEEN q1 - (q3 - q1) * CAST(0.4 AS DOUBLE)
                                              AND q3 + (q3 - q1) * CAST(0.4 AS DOUBLE)""",
+    "order_amount_outliers_usual_reach": with_views("placed") + """,
+        m AS (SELECT *, CAST(date_trunc('month', order_date) AS DATE) AS sales_month FROM placed),
+        q AS (SELECT sales_month, quantile_cont(CAST(amount AS DOUBLE), 0.25) AS q1,
+                     quantile_cont(CAST(amount AS DOUBLE), 0.75) AS q3
+              FROM m GROUP BY sales_month)
+        SELECT order_id, sales_month, amount FROM m NATURAL JOIN q
+        WHERE NOT CAST(amount AS DOUBLE) BETWEEN q1 - (q3 - q1) * CAST(1.5 AS DOUBLE)
+                                             AND q3 + (q3 - q1) * CAST(1.5 AS DOUBLE)""",
     "salary_z_scores": with_views("staff") + f"""
         SELECT emp_id, dept, salary,
                {_six("(CAST(salary AS DOUBLE) - AVG(CAST(salary AS DOUBLE)) OVER w) "
@@ -81,6 +89,11 @@ TOPICS = {
     "sampled_orders": with_views("placed") + """
         SELECT * FROM placed
         WHERE substr(md5(CAST(customer_id AS VARCHAR)), 1, 8) < '40000000'""",
+    "stratified_orders": """
+        SELECT o_orderkey, o_orderpriority FROM orders
+        WHERE substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)
+              < CASE o_orderpriority WHEN '1-URGENT' THEN '80000000' WHEN '2-HIGH' THEN '40000000'
+                                     WHEN '5-LOW' THEN '20000000' ELSE '' END""",
     "revenue_by_segment_and_region": with_views("sales", "buyers") + """
         SELECT segment,
                CAST(SUM(sales_amount) FILTER (WHERE region = 'AFRICA') AS DECIMAL(28,2))
@@ -92,7 +105,10 @@ TOPICS = {
                CAST(SUM(sales_amount) FILTER (WHERE region = 'EUROPE') AS DECIMAL(28,2))
                    AS "EUROPE",
                CAST(SUM(sales_amount) FILTER (WHERE region = 'MIDDLE EAST') AS DECIMAL(28,2))
-                   AS "MIDDLE EAST"
+                   AS "MIDDLE EAST",
+               CAST(SUM(sales_amount) FILTER (WHERE region NOT IN
+                   ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')) AS DECIMAL(28,2))
+                   AS "OTHER"
         FROM sales NATURAL JOIN buyers GROUP BY segment""",
     "department_of_employee": with_views("staff", "units") + """
         SELECT emp_id, IFNULL((SELECT dept_name FROM units u WHERE u.dept_id = s.dept_id),

@@ -46,16 +46,6 @@ def test_attach_equals_a_plain_join(spark, rows, how):
     assert rows(found) == rows(left.join(right, "k", how))
 
 
-def test_pairs_and_their_bound(people, units, rows):
-    assert len(rows(op.pair_with_each(people, units.select("name")))) == 6
-    with pytest.raises(ValueError):
-        op.pair_with_each(people, units, max_rows=1)
-
-
-def test_pairs_with_an_empty_table(people, units, rows):
-    assert rows(op.pair_with_each(people, units.filter("false").select("name"))) == []
-
-
 def test_duplicates_and_latest(frame, rows):
     df = frame(
         "id bigint; name string; s decimal(12,2); d date",
@@ -95,15 +85,20 @@ def test_parents_and_chains(frame, rows):
     ]
 
 
-def test_a_cycle_is_reported(frame, monkeypatch):
-    from grainline.operators import hierarchy
-
-    monkeypatch.setattr(hierarchy, "_MAX_ROUNDS", 4)
-    df = frame("id bigint; up bigint", (1, 2), (2, 1))
-    with pytest.raises(ValueError):
+@pytest.mark.parametrize("length", [1, 2, 3])
+def test_a_cycle_is_reported(frame, length):
+    cycle = [(i, (i + 1) % length) for i in range(length)]
+    chain = [(100, None), (101, 100), (102, 101), (200, 0)]
+    df = frame("id bigint; up bigint", *cycle, *chain)
+    with pytest.raises(ValueError, match="cycle"):
         op.hierarchy_levels(df, "id", "up")
 
 
+def test_a_long_chain_arrives(spark, rows):
+    df = spark.range(1000).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("up"))
+    assert rows(op.hierarchy_levels(df, "id", "up")) == [(i, 0, i) for i in range(1000)]
+
+
 def test_adjustments_conserve_the_total(frame, rows):
     balances = frame("account_id bigint; balance decimal(28,2)", (1, 1000), (2, 50), (3, 7))
     pairs = frame("a bigint; b bigint; v decimal(18,2)", (1, 2, 500), (1, 2, 1))
@@ -113,6 +108,13 @@ def test_adjustments_conserve_the_total(frame, rows):
     assert rows(balances)[0] == (1, 1000.0)
 
 
+def test_movements_of_an_unknown_account_are_kept(frame, rows):
+    balances = frame("account_id bigint; owner string; balance decimal(28,2)", (1, "a", 10))
+    pairs = frame("a bigint; b bigint; v decimal(18,2)", (1, 9, 10))
+    after = op.apply_adjustments(balances, op.transfers(pairs, "a", "b", "v"))
+    assert rows(after) == [(1, "a", 0.0), (9, None, 10.0)]
+
+
 def test_parameters_are_bound_not_pasted(spark, frame, rows):
     df = frame("id bigint; name string", (1, "x"), (2, "x' OR '1'='1"))
     text = "SELECT id FROM {people} WHERE name = :name"
@@ -170,6 +172,14 @@ def test_keyed_sample_is_stable_and_about_right(spark, rows):
     assert once == again and 1800 < len(once) < 2200
 
 
+def test_strata_have_their_own_fractions(spark, rows):
+    df = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") % 3).cast("string").alias("s"))
+    drawn = op.stratified_sample(df, "s", "k", {"0": 0.5, "1": 0.0})
+    counts = dict(rows(drawn.groupBy("s").count()))
+    assert set(counts) == {"0"} and 3100 < counts["0"] < 3600
+    assert rows(drawn) == rows(op.stratified_sample(df.repartition(5), "s", "k", {"0": 0.5, "1": 0.0}))
+
+
 def test_segments_and_churn(frame, rows):
     df = frame("k string; v int", ("a", 5), ("b", 10), ("c", 20), ("d", None))
     assert rows(op.with_segment(df, "v", {"mid": 10, "top": 20}, "low"), "k", "segment") == [
@@ -182,6 +192,8 @@ def test_segments_and_churn(frame, rows):
 def test_pivot_and_lookup(frame, rows):
     df = frame("r string; c string; v decimal(18,2)", ("x", "a", 1), ("x", "a", 2), ("x", "b", 5), ("y", "z", 9))
     assert rows(op.pivot_sum(df, "r", "c", ["a", "b"], "v")) == [("x", 3.0, 5.0), ("y", None, None)]
+    rest = op.pivot_sum(df, "r", "c", ["a"], "v", other="rest")
+    assert rows(rest) == [("x", 3.0, 5.0), ("y", None, 9.0)]
     ref = frame("c string; label string", ("a", "A"))
     assert rows(op.lookup(df, ref, "c", "label", "?"), "v", "label") == [
         (1.0, "A"), (2.0, "A"), (5.0, "?"), (9.0, "?"),

@@ -4,8 +4,8 @@ import pytest
 from compare import difference, duckdb_on
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, STATEMENTS = queries(), oracle_sql()
+from grainline.catalog import QUERIES
+from oracles import STATEMENTS
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,7 @@ def database(folder):
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(queries()) and set(STATEMENTS) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 from plan_text import final_plan, plan_of
 
@@ -66,3 +68,44 @@ def test_running_totals_window_over_folded_rows(spark, folder, no_broadcast, nam
 
 def test_top_orders_keep_a_heap_per_task(spark, folder):
     assert "TakeOrderedAndProject" in plan_of(QUERIES["top_orders"](spark, folder))
+
+
+def scans_of(df, column):
+    """Scans that read a column, in the plan that ran."""
+    df.collect()
+    return [x for x in final_plan(df).splitlines() if "FileScan" in x and column in x]
+
+
+def test_reconciling_reads_each_side_once(spark, folder, no_broadcast):
+    df = QUERIES["reconciled_order_totals"](spark, folder)
+    assert len(scans_of(df, "o_totalprice")) == 1
+    assert len(scans_of(df, "l_extendedprice")) == 1
+
+
+def test_top_products_read_no_orders_and_shuffle_no_lines(spark, folder, no_broadcast):
+    plan = plan_of(QUERIES["report_top_products"](spark, folder))
+    assert "o_orderkey" not in plan and "hashpartitioning(l_orderkey" not in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["report_product_dominance", "report_salesperson_performance", "yoy", "growth_streaks",
+     "top_products_per_region_with_ties", "share_of_region"],
+)
+def test_lines_are_shuffled_once_and_folded_before_their_attributes(
+    spark, folder, no_broadcast, name
+):
+    """Only the date needs raw lines; part and supplier meet the folded rows."""
+    df = QUERIES[name](spark, folder)
+    df.collect()
+    plan = final_plan(df).splitlines()
+    raw = [x for x in plan if " Exchange hashpartitioning(l_orderkey" in x]
+    assert len(raw) <= 2  # of lines and of orders
+    for i, line in enumerate(plan):
+        if re.search(r" Exchange hashpartitioning\((l_partkey|l_suppkey)#\d+L, \d", line):
+            below = plan[i + 1 : i + 5]
+            assert not any("FileScan" in x and "l_extendedprice" in x for x in below)
+
+
+def test_active_months_sum_nothing(spark, folder):
+    assert "l_extendedprice" not in plan_of(QUERIES["active_months"](spark, folder))

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from plan_text import plan_of
+
 from grainline import operators as op
 
 SALARIES = "id bigint; dept string; s decimal(12,2)"
@@ -66,7 +68,7 @@ def hot_rows(spark, seed=5, n=4000):
 
 
 @pytest.mark.parametrize("method", ["row_number", "rank", "dense_rank"])
-@pytest.mark.parametrize("k", [3, 1500])
+@pytest.mark.parametrize("k", [3, 1000, 1001, 5000])
 def test_top_k_equals_a_plain_window(spark, rows, method, k):
     _, df = hot_rows(spark)
     order = [F.col("v").desc_nulls_last()] + ([F.col("id")] if method == "row_number" else [])
@@ -77,6 +79,21 @@ def test_top_k_equals_a_plain_window(spark, rows, method, k):
     assert found.schema["rnk"].dataType == plain.schema["rnk"].dataType
 
 
+@pytest.mark.parametrize("method", ["row_number", "rank", "dense_rank"])
+@pytest.mark.parametrize("k", [1001, 5000])
+def test_a_large_k_cuts_parts_of_a_group_first(spark, rows, method, k):
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"),
+        F.col("id").alias("v"),
+    )
+    found = op.top_k_per_group(df, "g", "v", k, method=method)
+    hot = rows(found.filter("g = 'hot'"), "v", "rnk")
+    assert sorted(r for _, r in hot) == list(range(1, k + 1))
+    assert min(v for v, _ in hot) == 29997 - 3 * (k - 1)
+    plan = plan_of(found)
+    assert "_part" in plan[plan.rindex("Window [") :]
+
+
 def test_ranks_equal_plain_windows(spark, rows):
     _, df = hot_rows(spark)
     by_value = W.orderBy(F.col("v").desc_nulls_last())

@@ -1,36 +1,46 @@
-"""Cut points that outlive an executor, and the shared folder."""
+"""Row numbers depend on the rows alone, and nothing is left behind."""
 
-from types import SimpleNamespace
+import glob
+import os
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from grainline import session
 from grainline import operators as op
-
-
-def fake(master, configured=None, checkpoint_dir=None):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint_dir)
-    conf = SimpleNamespace(get=lambda name, default: configured)
-    return SimpleNamespace(sparkContext=context, conf=conf)
-
-
-def test_the_session_names_the_shared_folder():
-    assert session.shared_folder(fake("yarn", configured="/shared")) == "/shared"
-    assert session.shared_folder(fake("yarn", checkpoint_dir="/set")) == "/set"
-    with pytest.raises(ValueError):
-        session.shared_folder(fake("yarn"))
-    assert session.shared_folder(fake("local[4]"))
-
-
-def test_written_rows_do_not_change_between_uses(spark, rows):
-    df = session.stable(spark.range(100).withColumn("x", F.rand()))
-    assert rows(df) == rows(df)
-    assert "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
+from grainline.catalog import QUERIES
 
 
 def test_row_numbers_do_not_change_between_uses(spark, rows):
     df = spark.range(5000).withColumn("v", F.col("id") % 7).repartition(9)
-    numbered = op.global_row_number(df, [F.col("v").desc(), F.col("id")])
+    numbered = op.global_row_number(df, ["-v", "id"])
     assert rows(numbered) == rows(numbered)
     assert [r[0] for r in rows(numbered, "row_num")] == list(range(1, 5001))
+    again = op.global_row_number(df.repartition(3), ["-v", "id"])
+    assert rows(again) == rows(numbered)
+
+
+def test_slices_cut_a_value_that_fills_the_table(spark, rows):
+    df = spark.range(4000).select(F.lit(None).cast("int").alias("v"), "id")
+    sliced = op.ordering._sliced(df, ["v", "id"]).groupBy("_slice").count()
+    sizes = [n for (n,) in rows(sliced, "count")]
+    assert len(sizes) == 4 and max(sizes) < 2000
+    plan = op.global_row_number(df, ["v", "id"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_slice" in plan
+
+
+def test_only_numbers_and_dates_can_descend(spark):
+    with pytest.raises(TypeError):
+        op.global_row_number(spark.createDataFrame([("a",)], "s string"), ["-s"])
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["compare_ranks", "cumulative_revenue_by_order", "department_running_total",
+     "salary_quantiles", "order_amount_outliers", "management_levels", "partitioned_sales"],
+)
+def test_no_folder_appears_in_the_temporary_folder(spark, folder, name):
+    mine = os.path.join(tempfile.gettempdir(), "grainline-*")
+    before = set(glob.glob(mine))
+    QUERIES[name](spark, folder).collect()
+    assert set(glob.glob(mine)) == before
