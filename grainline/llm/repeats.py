@@ -194,13 +194,18 @@ def _find(symbols: Symbols, shape: Shape, inner: bool, batches: Iterator[pa.Reco
             key, name, d, h, first = got.key[order], got.name[order], d[order], h[order], got.first[order]
             head = _heads(key, name)
             at = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
-            later = ~head if inner else d > d[at]
+            later = _differs((d, h, first), at) if inner else d > d[at]
             columns = [key, name, d, h, first.astype(np.int32), got.count[order].astype(np.int32), got.twice[order], later]
             yield pa.RecordBatch.from_arrays(
                 list(map(pa.array, columns)), ["key", "name", "d", "h", "first", "count", "twice", "later"]
             )
 
 
+def _differs(place: tuple[np.ndarray, ...], at: np.ndarray) -> np.ndarray:
+    """Which rows have another place than the row `at` has."""
+    return np.logical_or.reduce([x != x[at] for x in place])
+
+
 def _heads(*columns: np.ndarray) -> np.ndarray:
     """Which rows differ from the row before in any of the columns."""
     head = np.ones(len(columns[0]), bool)
@@ -230,7 +235,7 @@ class _Sorter:
         key_head, name_head = _heads(key), _heads(key, name)
         of_key, at = np.cumsum(key_head) - 1, np.flatnonzero(name_head)
         of_name = np.cumsum(name_head) - 1
-        is_first = name_head if self.inner else d == d[at][of_name]
+        is_first = ~_differs((d, h, first), at[of_name]) if self.inner else d == d[at][of_name]
         several = (np.bincount(of_key[at]) > 1)[of_key]
         ending = np.ones(len(key), bool) if last else of_key < of_key[-1]
         is_open = is_first & (several | (ending & twice & self.inner)) & ~done

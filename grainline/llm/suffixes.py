@@ -83,7 +83,10 @@ def repeated_windows(rows: list[tuple]) -> list[tuple]:
     order = np.lexsort((place, h, d, rank))
     head = np.ones(len(order), bool)
     head[1:] = rank[order][1:] != rank[order][:-1]
-    again = np.sort(wanted[order[~head]])
+    # Equal rows have equal places; those are one place.
+    least = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    other = (d[order] != d[least]) | (h[order] != h[least]) | (place[order] != place[least])
+    again = np.sort(wanted[order[other]])
     found = []
     for begin, n in repeats.stretches(again):
         # Segments lie next to each other, so a stretch may reach into the next.
