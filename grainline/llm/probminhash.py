@@ -14,6 +14,7 @@ and documents of a bucket that are still in several classes are compared again.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -177,8 +178,12 @@ def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.select("a", "b", "one", "two").mapInArrow(_verify, f"a {kind}, b {kind}")
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two blocks of a bucket in different classes with like registers."""
+def _near(best: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of two blocks of a bucket in different classes.
+
+    A pair is put out in the first band that it shares.  With `best` a document
+    names only its likeliest partner.
+    """
     kind = pa.struct([("d", pa.int64()), ("h", pa.int32())])
     for rows in repeats.by_key(batches):
         at = 0
@@ -186,53 +191,76 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             end = at
             while end < len(rows) and rows[end][0] == rows[at][0]:
                 end += 1
-            group = rows[at:end]
-            at = end
-            side = [[x for x in group if x[1] == s] for s in (0, 1)]
-            left, right = side[0], side[1] or side[0]
-            marks = [np.frombuffer(b"".join(x[4] for x in s), np.uint8).reshape(-1, REGISTERS) for s in (left, right)]
-            found = []
-            for i, x in enumerate(left):
-                share = (marks[1] == marks[0][i]).mean(axis=1)
-                for j in np.flatnonzero(share >= ESTIMATE):
-                    y = right[j]
-                    if x[3] != y[3] and (side[1] or i < j):
-                        found.append((x[2], y[2]))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c in zip(*found, strict=True)], ["a", "b"])
-
-
-def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of different classes in one bucket that may be similar.
+            group, at = rows[at:end], end
+            left = [x for x in group if x[1] == 0]
+            right = [x for x in group if x[1] == 1]
+            within = not right
+            right = right or left
+            if not left:
+                continue
+            one, two = (
+                [
+                    np.array([x[4] for x in side], np.int64),
+                    np.frombuffer(b"".join(x[5] for x in side), np.uint8).reshape(-1, REGISTERS),
+                    np.array([x[6] for x in side], np.int64),
+                ]
+                for side in (left, right)
+            )
+            share = np.array([(two[1] == marks).mean(axis=1) for marks in one[1]])
+            likely = (share >= ESTIMATE) & (one[0][:, None] != two[0][None, :])
+            if within:
+                likely &= np.tri(len(left), k=-1, dtype=bool).T
+            i, j = np.nonzero(likely)
+            common = one[2][i] == two[2][j]
+            here = one[2][i] == np.array([x[2] for x in left], np.int64)[i][:, None]
+            first = common.argmax(axis=1) == here.argmax(axis=1)
+            i, j = i[first], j[first]
+            if best and len(i):
+                order = np.argsort(-share[i, j], kind="stable")
+                of_i, of_j = np.unique(i[order], return_index=True)[1], np.unique(j[order], return_index=True)[1]
+                chosen = order[np.union1d(of_i, of_j)]
+                i, j = i[chosen], j[chosen]
+            if len(i):
+                ends = [left[x][3] for x in i], [right[y][3] for y in j]
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c in ends], ["a", "b"])
+
+
+def _unresolved(shared: DataFrame, firsts: DataFrame, links: DataFrame, tried: DataFrame, best: bool) -> DataFrame:
+    """Pairs (a > b) that may be similar, of one bucket and two classes, not tried yet.
 
     A large bucket is cut into blocks, and every two blocks are compared where a
     copy of both is sent; only likely pairs are put out.
     """
-    named = members.join(classes, F.col("row") == F.col("node"), "left").select(
-        "bucket", "row", "marks", F.coalesce("root", "row").alias("root")
+    named = shared.join(components(links), F.col("row") == F.col("node"), "left").select(
+        "bucket", "row", F.coalesce("root", "row").alias("root")
     )
     mixed_up = (
         named.groupBy(F.col("bucket").alias("_b"))
         .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-        .where("lo < hi and n > 2")
+        .where("lo < hi")
         .select("_b", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    own = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
-    blocked = named.join(mixed_up, F.col("bucket") == F.col("_b")).withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = blocked.select("bucket", "row", "root", "marks", "own", other.alias("other"))
+    open_rows = stored(named.join(mixed_up, F.col("bucket") == F.col("_b")).drop("_b"))
+    details = firsts.select(F.col("row").alias("_row"), "marks", "bands")
+    details = details.join(open_rows.select("row").distinct(), F.col("_row") == F.col("row"), "left_semi")
+    dealt = open_rows.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    dealt = dealt.join(details, F.col("row") == F.col("_row"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    side = F.when(F.col("own") == low, 0).otherwise(1)
     placed = dealt.select(
         F.xxhash64("bucket", low, high).alias("key"),
-        side.alias("side"),
+        F.when(F.col("own") == low, 0).otherwise(1).alias("side"),
+        "bucket",
         "row",
         F.xxhash64("root").alias("root"),
         "marks",
+        "bands",
     )
     kind = "struct<d:bigint,h:int>"
     placed = placed.repartition("key").sortWithinPartitions("key")
-    return placed.mapInArrow(_near, f"a {kind}, b {kind}").distinct()
+    found = placed.mapInArrow(partial(_near, best), f"a {kind}, b {kind}")
+    found = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return stored(found.join(tried, ["a", "b"], "left_anti"))
 
 
 def classes_of(docs: DataFrame) -> DataFrame:
@@ -245,14 +273,20 @@ def classes_of(docs: DataFrame) -> DataFrame:
     firsts = stored(
         copies.agg(F.min(_row()).alias("row"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
     )
-    members = firsts.select(F.explode("bands").alias("bucket"), "row", "marks")
-    stars = members.groupBy(F.col("bucket").alias("_b")).agg(F.min("row").alias("star"), F.max("row").alias("_last"))
-    stars = stars.where("star < _last").select("_b", "star")
-    pairs = members.select("bucket", "row").join(stars, F.col("bucket") == F.col("_b"))
-    pairs = stored(pairs.where("row > star").select(F.col("row").alias("a"), F.col("star").alias("b")).distinct())
-    links = stored(verified(rows, pairs))
-    more = stored(_unresolved(members, components(links)).join(pairs, ["a", "b"], "left_anti"))
-    roots = components(links.union(verified(rows, more)))
+    members = firsts.select(F.explode("bands").alias("bucket"), "row")
+    stars = members.groupBy(F.col("bucket").alias("_b")).agg(F.min("row").alias("star"), F.count("*").alias("n"))
+    stars = stars.where("n > 1")
+    shared = stored(members.join(stars, F.col("bucket") == F.col("_b")).drop("_b"))
+    tried = stored(shared.where("row > star").select(F.col("row").alias("a"), F.col("star").alias("b")).distinct())
+    links = stored(verified(rows, tried))
+    shared = shared.where("n > 2").select("bucket", "row")
+    # Likeliest partners first: most classes are joined by few comparisons, and
+    # all that may still be similar across classes is compared after that.
+    for best in (True, False):
+        more = _unresolved(shared, firsts, links, tried, best)
+        tried = tried.union(more)
+        links = stored(links.union(verified(rows, more)))
+    roots = components(links)
     first = F.coalesce("row", _row())
     placed = signed.select("d", "h", "c1", "c2", F.col("bands").isNotNull().alias("some")).alias("s").join(
         firsts.select(F.col("c1").alias("_1"), F.col("c2").alias("_2"), "row"),
