@@ -77,7 +77,7 @@ def mixture(likely: np.ndarray, owner: np.ndarray, n_texts: int) -> tuple[np.nda
     present, first, count = np.unique(owner, return_index=True, return_counts=True)
     has = np.zeros(n_texts, bool)
     has[present] = True
-    if not len(present):
+    if not len(present) or not n_langs:
         return best_share, has
     top = likely.max(axis=1)
     p = np.exp(likely - top[:, None])

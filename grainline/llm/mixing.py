@@ -127,10 +127,10 @@ def budgets(sources: DataFrame, mix: Mix) -> DataFrame:
     a = exponent(sources, mix)
     powered = F.pow(F.col("tokens") / float(whole or 1), F.lit(a))
     total = some.agg(F.sum(powered).alias("z")).first()["z"] or 1.0
-    weight = F.when(F.col("tokens") > 0, F.round(powered / total, 12)).otherwise(F.lit(0.0))
+    weight = F.when(F.col("tokens") > 0, powered / total).otherwise(F.lit(0.0))
     return (
-        sources.withColumn("weight", weight)
-        .withColumn("budget", F.floor(F.col("weight") * F.lit(float(whole * mix.budget))))
+        sources.withColumn("budget", F.floor(weight * F.lit(float(whole * mix.budget)) + 1e-6))
+        .withColumn("weight", F.round(weight, 12))
         .withColumn("blocks", F.ceil(F.col("rows") / F.lit(mix.block)).cast("long"))
     )
 

@@ -120,7 +120,7 @@ def test_draws_keep_to_their_budgets(spark, repetition, entropy):
     assert abs(weights.sum() - 1) < 1e-6
     for source, own in tokens.groupby("source"):
         mine = drawn[drawn.source == source]
-        budget = int(weights[source] * total)
+        budget = int(weights[source] * total + 1e-4)
         assert mine.n_tokens.sum() <= budget
         assert budget - mine.n_tokens.sum() < 31
         counts = mine.groupby("doc_id").size().reindex(own.doc_id, fill_value=0)
