@@ -23,7 +23,7 @@ from grainline.llm.common import bound_batches, hex_sha256, texts_of
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 #: Entries kept of words already encoded, per task.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 320_000
 
 #: Fixed by the tokenizer: how it splits a text before merging.
 SPLIT = (
@@ -243,7 +243,12 @@ def encode(docs: DataFrame, definition: bytes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # the kept words form no cycles, and collecting walks them all
-        encoder = Encoder(shared.value)
+        try:
+            yield from rows(Encoder(shared.value), batches)
+        finally:
+            gc.enable()
+
+    def rows(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, ids, texts = [], [], []
             for data in texts_of(batch.column(1)):

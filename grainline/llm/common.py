@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 256
 
 #: Bytes of text that are worked on at once inside a task.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 #: Stands for a missing doc_id wherever ids are ordered: it comes last.
 NO_ID = 2**63 - 1
