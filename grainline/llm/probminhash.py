@@ -225,13 +225,13 @@ def _near(best: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c in ends], ["a", "b"])
 
 
-def _unresolved(shared: DataFrame, firsts: DataFrame, links: DataFrame, tried: DataFrame, best: bool) -> DataFrame:
+def _unresolved(shared: DataFrame, firsts: DataFrame, roots: DataFrame, tried: DataFrame, best: bool) -> DataFrame:
     """Pairs (a > b) that may be similar, of one bucket and two classes, not tried yet.
 
     A large bucket is cut into blocks, and every two blocks are compared where a
     copy of both is sent; only likely pairs are put out.
     """
-    named = shared.join(components(links), F.col("row") == F.col("node"), "left").select(
+    named = shared.join(roots, F.col("row") == F.col("node"), "left").select(
         "bucket", "row", F.coalesce("root", "row").alias("root")
     )
     mixed_up = (
@@ -278,15 +278,15 @@ def classes_of(docs: DataFrame) -> DataFrame:
     stars = stars.where("n > 1")
     shared = stored(members.join(stars, F.col("bucket") == F.col("_b")).drop("_b"))
     tried = stored(shared.where("row > star").select(F.col("row").alias("a"), F.col("star").alias("b")).distinct())
-    links = stored(verified(rows, tried))
+    roots = components(verified(rows, tried))
     shared = shared.where("n > 2").select("bucket", "row")
     # Likeliest partners first: most classes are joined by few comparisons, and
     # all that may still be similar across classes is compared after that.
     for best in (True, False):
-        more = _unresolved(shared, firsts, links, tried, best)
+        more = _unresolved(shared, firsts, roots, tried, best)
         tried = tried.union(more)
-        links = stored(links.union(verified(rows, more)))
-    roots = components(links)
+        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(joined.union(verified(rows, more)))
     first = F.coalesce("row", _row())
     placed = signed.select("d", "h", "c1", "c2", F.col("bands").isNotNull().alias("some")).alias("s").join(
         firsts.select(F.col("c1").alias("_1"), F.col("c2").alias("_2"), "row"),
