@@ -39,7 +39,7 @@ ESTIMATE = 0.7
 BLOCK = 256
 
 #: `c1`, `c2` name the sequence of words; `bands` and `marks` are null without words.
-SIGNED = "d long, h int, c1 long, c2 long, bands array<long>, marks binary"
+SIGNED = "d long, h long, c1 long, c2 long, bands array<long>, marks binary"
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -174,7 +174,7 @@ def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     two = texts.select(F.col("d").alias("d2"), F.col("h").alias("h2"), F.col("text").alias("two"))
     both = pairs.join(one, (F.col("a.d") == F.col("d1")) & (F.col("a.h") == F.col("h1"))).select("a", "b", "one")
     both = both.join(two, (F.col("b.d") == F.col("d2")) & (F.col("b.h") == F.col("h2")))
-    kind = "struct<d:bigint,h:int>"
+    kind = "struct<d:bigint,h:bigint>"
     return both.select("a", "b", "one", "two").mapInArrow(_verify, f"a {kind}, b {kind}")
 
 
@@ -184,7 +184,7 @@ def _near(best: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     A pair is put out in the first band that it shares.  With `best` a document
     names only its likeliest partner.
     """
-    kind = pa.struct([("d", pa.int64()), ("h", pa.int32())])
+    kind = pa.struct([("d", pa.int64()), ("h", pa.int64())])
     for rows in repeats.by_key(batches):
         at = 0
         while at < len(rows):
@@ -256,7 +256,7 @@ def _unresolved(shared: DataFrame, firsts: DataFrame, roots: DataFrame, tried: D
         "marks",
         "bands",
     )
-    kind = "struct<d:bigint,h:int>"
+    kind = "struct<d:bigint,h:bigint>"
     placed = placed.repartition("key").sortWithinPartitions("key")
     found = placed.mapInArrow(partial(_near, best), f"a {kind}, b {kind}")
     found = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -325,7 +325,7 @@ def deduplicated_documents(docs: DataFrame) -> DataFrame:
     again = classes.groupBy("d", "h").count().where("count > 1").select("d", "h", F.lit(1).alias("go"))
     rows = docs.select(
         repeats.id_or_last(F.col("doc_id")).alias("d"),
-        F.hash(text).alias("h"),
+        F.xxhash64(text).alias("h"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
     )
     some, rest = repeats.with_lists(rows, stored(gone.union(again)))

@@ -156,11 +156,11 @@ Symbols = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 #: A run by row (`d`, `h`), first window and number of windows.  `later` marks
 #: runs of which an equal one comes before in the same task.
-RUN_SCHEMA = "key long, name long, d long, h int, first int, count int, twice boolean, later boolean"
+RUN_SCHEMA = "key long, name long, d long, h long, first int, count int, twice boolean, later boolean"
 #: Runs that occur again: `open` ones are the first of their content but share
 #: their key with others, so some of their windows may repeat; all windows of
 #: the rest occur earlier.
-FOUND_SCHEMA = "key long, d long, h int, first int, count int, open boolean"
+FOUND_SCHEMA = "key long, d long, h long, first int, count int, open boolean"
 
 #: Runs with one key that are compared in one task, at most; beyond that each of
 #: their windows is looked up on its own.
@@ -170,7 +170,7 @@ BLOOM_BITS = 1 << 25
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and `d`, `h`: doc_id (null last) and a hash of the text.
+    """doc_id, text, and `d`, `h`: doc_id (null last) and a 64-bit hash of the text.
 
     Rows that share `d` and `h` are taken to be equal.
     """
@@ -179,7 +179,7 @@ def rows_of(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
         id_or_last(F.col("doc_id")).alias("d"),
-        F.hash(text).alias("h"),
+        F.xxhash64(text).alias("h"),
     )
 
 
@@ -260,7 +260,7 @@ def _sort_out(inner: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
     def out(columns: list[np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names)
 
-    none = [np.zeros(0, x) for x in (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32, bool)]
+    none = [np.zeros(0, x) for x in (np.int64, np.int64, np.int64, np.int64, np.int32, np.int32, bool)]
     for batch in batches:
         key, name, d, h, first, count, twice, later = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         if later.any():
@@ -359,11 +359,11 @@ def segments(rows: DataFrame, runs: DataFrame, cut: Callable[[bytes], Callable[[
                 ["key", "d", "h", "first", "count", "body"],
             )
 
-    schema = "key long, d long, h int, first int, count int, body binary"
+    schema = "key long, d long, h long, first int, count int, body binary"
     return some.where("listed is not null").select("text", "d", "h", "listed").mapInArrow(run, schema)
 
 
-_SEGMENT = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+_SEGMENT = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
 
 
 def by_key(batches: Iterator[pa.RecordBatch], least: int = 1) -> Iterator[list[tuple]]:
@@ -383,7 +383,7 @@ def by_key(batches: Iterator[pa.RecordBatch], least: int = 1) -> Iterator[list[t
         yield held
 
 
-SPANS = "d long, h int, first int, count int"
+SPANS = "d long, h long, first int, count int"
 
 
 def spans_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -427,7 +427,7 @@ def window_names(
             ]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["w1", "w2", "d", "h", "first"])
 
-    schema = "w1 long, w2 long, d long, h int, first int"
+    schema = "w1 long, w2 long, d long, h long, first int"
     return segments(rows, runs, cut).mapInArrow(run, schema)
 
 

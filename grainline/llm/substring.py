@@ -214,7 +214,7 @@ def deduplicated_documents(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         repeats.id_or_last(F.col("doc_id")).alias("d"),
-        F.hash(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h"),
         F.col("text").isNull().alias("empty"),
         F.struct(*[F.col(f"`{c}`") for c in rest_of]).alias("others"),
     )

@@ -5,6 +5,7 @@ import random
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from grainline.llm import probminhash as near
 from grainline.llm.components import components
@@ -99,6 +100,17 @@ def test_edges(spark, rows):
     assert rows(kept, "doc_id") == [(5,), (7,), (8,), (None,)]
 
 
+def test_texts_with_one_short_hash_and_no_id_stay_apart(spark, rows):
+    passage = " ".join(f"word{i}" for i in range(60))
+    docs = [(None, f"{passage} x9556"), (None, "short y19362")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert frame.select(F.hash("text")).distinct().count() == 1
+    assert rows(near.deduplicated_documents(frame), "text") == sorted((t,) for _, t in docs)
+    # If an earlier row is a copy of one of them, only that one goes.
+    more = spark.createDataFrame([(1, docs[0][1]), *docs], "doc_id long, text string")
+    assert rows(near.deduplicated_documents(more), "doc_id", "text") == [(1, docs[0][1]), (None, docs[1][1])]
+
+
 def test_components_of_chains_and_stars(spark, rows):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     frame = spark.createDataFrame(edges, "a long, b long")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from grainline.llm import repeats, substring, suffixes
 
@@ -98,6 +99,26 @@ def test_edges(spark, rows, operator):
     assert rows(operator(later))[-1][2] == (60 if operator is substring.deduplicated else len(text))
 
 
+@pytest.mark.parametrize("operator", [substring.deduplicated, suffixes.deduplicated])
+def test_texts_with_one_short_hash_and_no_id_are_two_rows(spark, rows, operator):
+    passage = " ".join(f"word{i}" for i in range(60))
+    long, short = f"{passage} x9556", "short y19362"
+    docs = spark.createDataFrame([(1, passage), (None, long), (None, short)], "doc_id long, text string")
+    assert docs.where("doc_id is null").select(F.hash("text")).distinct().count() == 1
+    found = rows(operator(docs))
+    whole = 61 if operator is substring.deduplicated else len(long)
+    gone = 60 if operator is substring.deduplicated else len(passage)
+    size = 2 if operator is substring.deduplicated else len(short)
+    assert sorted(r[1:3] for r in found if r[0] is None) == sorted([(whole, gone), (size, 0)])
+
+
+def test_rewriting_keeps_texts_with_one_short_hash_apart(spark, rows):
+    passage = " ".join(f"word{i}" for i in range(60))
+    docs = [(1, passage), (None, f"{passage} x9556"), (None, "short y19362")]
+    kept = substring.deduplicated_documents(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r[0].split() for r in rows(kept, "text")) == sorted([passage.split(), ["x9556"], ["short", "y19362"]])
+
+
 def test_a_very_long_text(spark, rows):
     long = " ".join(f"v{i % 1000}" for i in range(300_000))
     docs = spark.createDataFrame([(1, long), (2, long[:5000])], "doc_id long, text string")
