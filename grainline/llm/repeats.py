@@ -192,6 +192,9 @@ def _find(symbols: Symbols, shape: Shape, inner: bool, batches: Iterator[pa.Reco
             d, h = ds[a:b][got.text], hs[a:b][got.text]
             order = np.lexsort((got.first, h, d, got.name, got.key))
             key, name, d, h, first = got.key[order], got.name[order], d[order], h[order], got.first[order]
+            # Rows that are wholly equal have equal runs, which count once.
+            once = _heads(key, name, d, h, first)
+            order, key, name, d, h, first = (x[once] for x in (order, key, name, d, h, first))
             head = _heads(key, name)
             at = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
             later = _differs((d, h, first), at) if inner else d > d[at]
@@ -261,11 +264,24 @@ def _sort_out(inner: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names)
 
     none = [np.zeros(0, x) for x in (np.int64, np.int64, np.int64, np.int64, np.int32, np.int32, bool)]
+    ends: list[tuple | None] = [None, None]
+
+    def once(columns: list[np.ndarray], stream: int) -> list[np.ndarray]:
+        """Columns without runs that equal rows sent before; these are neighbours."""
+        if not len(columns[0]):
+            return columns
+        place = columns[:5]
+        new = _heads(*place)
+        new[0] = ends[stream] != tuple(x[0] for x in place)
+        ends[stream] = tuple(x[-1] for x in place)
+        return [x[new] for x in columns]
+
     for batch in batches:
-        key, name, d, h, first, count, twice, later = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if later.any():
-            yield out([x[later] for x in (key, d, h, first, count)] + [np.zeros(int(later.sum()), bool)])
-        rows = [x[~later] for x in (key, name, d, h, first, count, twice)]
+        *columns, later = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        key, _, d, h, first, count, _ = once([x[later] for x in columns], 0)
+        if len(key):
+            yield out([key, d, h, first, count, np.zeros(len(key), bool)])
+        rows = once([x[~later] for x in columns], 1)
         if len(rows[0]):
             got = sorter.take(rows, last=False)
             if got is not None and len(got[0]):
@@ -281,7 +297,8 @@ def find_repeats(rows: DataFrame, symbols: Symbols, shape: Shape, inner: bool) -
     With `inner`, a place is earlier than another if it comes first by row and
     position; without, only if its row has a smaller `d`.  Runs are shuffled
     once by key.  Of runs with equal content a task sends on only the first;
-    the others are known to repeat and go to any partition.
+    the others are known to repeat and go to any partition.  Rows that are
+    wholly equal count as one; an open run is put out once.
     """
     bound_batches(rows.sparkSession)
     runs = rows.select("text", "d", "h").mapInArrow(partial(_find, symbols, shape, inner), RUN_SCHEMA)
@@ -325,24 +342,31 @@ def bloom(rows: DataFrame) -> Callable[[Column, Column], Column]:
 def with_lists(rows: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that may have entries in `listed`, with those entries, and the rest.
 
-    A list is null if there is no entry after all; it is as long as its row's
-    text at most.
+    A list is null if there is no entry after all.  Its entries are distinct,
+    however many equal rows sent them, so it is as long as its row's text at most.
     """
+    passes = bloom(listed.select("d", "h").distinct())(F.col("d"), F.col("h"))
+    return _listed(rows.where(passes), listed, "left"), rows.where(~passes)
+
+
+def _listed(rows: DataFrame, listed: DataFrame, how: str) -> DataFrame:
     entries = [c for c in listed.columns if c not in ("d", "h")]
     lists = listed.groupBy(F.col("d").alias("_d"), F.col("h").alias("_h")).agg(
-        F.collect_list(F.struct(*entries)).alias("listed")
+        F.collect_set(F.struct(*entries)).alias("listed")
     )
-    passes = bloom(listed.select("d", "h").distinct())(F.col("d"), F.col("h"))
-    some = rows.where(passes).join(lists, (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h")), "left")
-    return some.drop("_d", "_h"), rows.where(~passes)
+    return rows.join(lists, (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h")), how).drop("_d", "_h")
 
 
 def segments(rows: DataFrame, runs: DataFrame, cut: Callable[[bytes], Callable[[int, int], bytes]]) -> DataFrame:
     """Content of `runs` (key, d, h, first, count): key, d, h, first, count, body.
 
     `cut` takes a text and returns what gives the symbols from first, for count.
+    One row stands for all that are wholly equal; a task sends one of them.
     """
-    some, _ = with_lists(rows, runs.select("d", "h", "key", "first", "count"))
+    wanted = runs.select("d", "h", "key", "first", "count")
+    passes = bloom(wanted.select("d", "h").distinct())(F.col("d"), F.col("h"))
+    texts = rows.where(passes).groupBy("d", "h").agg(F.first("text").alias("text"))
+    some = _listed(texts, wanted, "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,7 +384,7 @@ def segments(rows: DataFrame, runs: DataFrame, cut: Callable[[bytes], Callable[[
             )
 
     schema = "key long, d long, h long, first int, count int, body binary"
-    return some.where("listed is not null").select("text", "d", "h", "listed").mapInArrow(run, schema)
+    return some.select("text", "d", "h", "listed").mapInArrow(run, schema)
 
 
 _SEGMENT = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())

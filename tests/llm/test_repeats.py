@@ -119,6 +119,29 @@ def test_rewriting_keeps_texts_with_one_short_hash_apart(spark, rows):
     assert sorted(r[0].split() for r in rows(kept, "text")) == sorted([passage.split(), ["x9556"], ["short", "y19362"]])
 
 
+@pytest.mark.parametrize("inner", [True, False])
+def test_equal_rows_send_their_runs_once(spark, inner):
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    base = draw.choices(words, k=300)
+    other = " ".join(base[:140] + draw.choices(words, k=20) + base[160:])
+    docs = [(1, " ".join(base))] + [(None, other)] * 60
+    symbols, shape, cut = (
+        (repeats.byte_symbols, repeats.BYTES, suffixes._cut) if inner else (repeats.word_symbols, repeats.WORDS, substring._cut)
+    )
+    table = repeats.rows_of(spark.createDataFrame(docs, "doc_id long, text string").repartition(6))
+    found = repeats.find_repeats(table, symbols, shape, inner)
+    runs = found.where("open").collect()
+    assert len(runs) == len(set(runs)) > 0
+    few, _ = repeats.open_runs(found)
+    bodies = repeats.segments(table, few, cut).select("key", "d", "h", "first", "count").collect()
+    assert len(bodies) == len(set(bodies)) == len(runs)
+    some, _ = repeats.with_lists(table, found.select("d", "h", "first", "count"))
+    lists = [r["listed"] for r in some.where("listed is not null and doc_id is null").collect()]
+    assert len(lists) == 60
+    assert all(len(x) == len(set(x)) for x in lists)
+
+
 def test_a_very_long_text(spark, rows):
     long = " ".join(f"v{i % 1000}" for i in range(300_000))
     docs = spark.createDataFrame([(1, long), (2, long[:5000])], "doc_id long, text string")
