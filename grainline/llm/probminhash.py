@@ -228,8 +228,10 @@ def _near(best: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def _unresolved(shared: DataFrame, firsts: DataFrame, roots: DataFrame, tried: DataFrame, best: bool) -> DataFrame:
     """Pairs (a > b) that may be similar, of one bucket and two classes, not tried yet.
 
-    A large bucket is cut into blocks, and every two blocks are compared where a
-    copy of both is sent; only likely pairs are put out.
+    A large bucket is cut into blocks, those of its largest class and those of
+    the rest.  Rows of the largest class have nothing to be compared with among
+    themselves, so a copy of each goes only to the blocks of the rest, and the
+    rest meets all blocks; only likely pairs are put out.
     """
     named = shared.join(roots, F.col("row") == F.col("node"), "left").select(
         "bucket", "row", F.coalesce("root", "row").alias("root")
@@ -238,14 +240,33 @@ def _unresolved(shared: DataFrame, firsts: DataFrame, roots: DataFrame, tried: D
         named.groupBy(F.col("bucket").alias("_b"))
         .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
         .where("lo < hi")
-        .select("_b", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("_b", "n")
     )
     open_rows = stored(named.join(mixed_up, F.col("bucket") == F.col("_b")).drop("_b"))
+    sizes = open_rows.where(F.col("n") > BLOCK).groupBy("bucket", "root").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy(F.col("bucket").alias("_b")).agg(
+        F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("classes")
+    )
     details = firsts.select(F.col("row").alias("_row"), "marks", "bands")
     details = details.join(open_rows.select("row").distinct(), F.col("_row") == F.col("row"), "left_semi")
-    dealt = open_rows.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    dealt = open_rows.join(largest, F.col("bucket") == F.col("_b"), "left").drop("_b")
+    # A bucket of one block has no class apart.
+    of_most = F.coalesce(F.col("root") == F.col("most.root"), F.lit(False))
+    size = F.coalesce("most.size", F.lit(0))
+    apart, rest = (F.ceil(x / BLOCK).cast("int") for x in (size, F.col("n") - size))
+    block = lambda blocks: F.pmod(F.xxhash64("row"), F.greatest(blocks, F.lit(1))).cast("int")
+    # Two classes have no pairs within the rest either.
+    among_rest = of_most | (F.coalesce("classes", F.lit(3)) > 2)
+    dealt = dealt.select(
+        "bucket",
+        "row",
+        "root",
+        F.when(of_most, block(apart)).otherwise(apart + block(rest)).alias("own"),
+        F.when(of_most, apart).otherwise(F.lit(0)).alias("begin"),
+        (F.when(among_rest, apart + rest).otherwise(apart) - 1).alias("end"),
+    )
     dealt = dealt.join(details, F.col("row") == F.col("_row"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("other", F.explode(F.sequence("begin", "end")))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     placed = dealt.select(
         F.xxhash64("bucket", low, high).alias("key"),

@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,49 @@ def test_texts_with_one_short_hash_and_no_id_stay_apart(spark, rows):
     assert rows(near.deduplicated_documents(more), "doc_id", "text") == [(1, docs[0][1]), (None, docs[1][1])]
 
 
+def bucket_of(spark, sizes):
+    """One bucket of classes of the given sizes, all marks equal."""
+    kind, links = "struct<d:long,h:long>", []
+    number = 0
+    for n in sizes:
+        links += [((number + i, 0), (number, 0)) for i in range(n)]
+        number += n
+    members = [(5, x) for x, _ in links]
+    details = [(x, [5, *range(100, 127)], bytes(near.REGISTERS)) for x, _ in links]
+    return links, (
+        spark.createDataFrame(members, f"bucket long, row {kind}"),
+        spark.createDataFrame(details, f"row {kind}, bands array<long>, marks binary"),
+        spark.createDataFrame([x for x in links if x[0] != x[1]], f"node {kind}, root {kind}"),
+        spark.createDataFrame([], f"a {kind}, b {kind}"),
+    )
+
+
+@pytest.mark.parametrize("sizes", [(60, 20, 1, 1), (40, 30), (50, 1), (5, 4, 1)])
+def test_all_pairs_between_classes_of_a_bucket_are_compared(spark, monkeypatch, sizes):
+    monkeypatch.setattr(near, "BLOCK", 16)
+    links, frames = bucket_of(spark, sizes)
+    found = [(r["a"]["d"], r["b"]["d"]) for r in near._unresolved(*frames, best=False).collect()]
+    expected = [(x[0], y[0]) for x, a in links for y, b in links if x > y and a != b]
+    assert sorted(found) == sorted(expected)
+
+
+def test_a_stranger_does_not_deal_a_large_class_to_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 16)
+
+    def one_a_row(best, batches):
+        import uuid
+
+        for batch in batches:
+            ends = [(uuid.uuid4().int >> 66, 0) for _ in range(batch.num_rows)]
+            kind = pa.struct([("d", pa.int64()), ("h", batch.schema.field("row").type.field("h").type)])
+            column = pa.array([{"d": d, "h": h} for d, h in ends], kind)
+            yield pa.RecordBatch.from_arrays([column, column], ["a", "b"])
+
+    monkeypatch.setattr(near, "_near", one_a_row)
+    _, frames = bucket_of(spark, (1600, 1))
+    assert near._unresolved(*frames, best=False).count() == 1600 + 100
+
+
 def test_components_of_chains_and_stars(spark, rows):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     frame = spark.createDataFrame(edges, "a long, b long")
