@@ -3,7 +3,9 @@
 Documents are sharded by content: the windows that could be equal meet in one
 shard.  In a shard the passages of earlier documents make up a suffix automaton,
 and later passages are streamed through it for matching statistics: wherever
-the longest match reaches the length of a window, that window is known.  An
+the longest match reaches the length of a window, that window is known.  Runs
+that are wholly equal to an earlier one are decided before that by 64-bit names,
+and so are the windows of a key with too many different runs for a shard.  An
 automaton goes to the tasks whose passages share a key with it, not to all, as
 all automata together grow with the documents.
 """
