@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainline.llm import bpe, chat, langid, mixing, probminhash, quality, substring, suffixes, topk, toxicity
+from grainline.llm import (
+    bpe,
+    chat,
+    langid,
+    manifest,
+    mixing,
+    negatives,
+    probminhash,
+    quality,
+    substring,
+    suffixes,
+    topk,
+    toxicity,
+)
 from grainline.llm.common import read
 from grainline.llm.statements import STATEMENTS  # noqa: F401
 
@@ -71,6 +84,14 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(read(spark, folder, "documents"), tokenizer_definition())
 
 
+def op12_subset_sums(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(read(spark, folder, "embeddings"), negatives.shifted_label())
+
+
+def op13_merkle_witnesses(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.proved(manifest.witnesses(read(spark, folder, "documents"), manifest.tampered()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_suffix_array": op2_suffix_array,
@@ -82,4 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_toxicity_ftrl": op9_toxicity_ftrl,
     "op10_bpe": op10_bpe,
+    "op12_subset_sums": op12_subset_sums,
+    "op13_merkle_witnesses": op13_merkle_witnesses,
 }

@@ -26,8 +26,8 @@ LOWEST = np.iinfo(np.int64).min
 RESULT = "query_id long, rank int, vec_id long, score long"
 
 
-def as_integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and floor(scale * x) of each component; vectors that are null or
+def as_integers(vectors: DataFrame, scale: int = SCALE, *more: str) -> DataFrame:
+    """vec_id, floor(scale * x) of each component, and the columns `more`; vectors that are null or
     hold a null or non-finite component, and rows without a vec_id, are left out.
     """
     x = F.col("embedding").cast("array<double>")
@@ -38,6 +38,7 @@ def as_integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     return vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, usable)).select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.transform(x, lambda c: F.floor(c * scale)).alias("ints"),
+        *more,
     )
 
 
