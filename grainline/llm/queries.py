@@ -15,6 +15,7 @@ from grainline.llm import (
     manifest,
     mixing,
     negatives,
+    ngrams,
     probminhash,
     quality,
     substring,
@@ -84,6 +85,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(read(spark, folder, "documents"), tokenizer_definition())
 
 
+def op11_ngram_product(spark: SparkSession, folder: str) -> DataFrame:
+    return ngrams.linked(read(spark, folder, "documents"))
+
+
 def op12_subset_sums(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine(read(spark, folder, "embeddings"), negatives.shifted_label())
 
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_toxicity_ftrl": op9_toxicity_ftrl,
     "op10_bpe": op10_bpe,
+    "op11_ngram_product": op11_ngram_product,
     "op12_subset_sums": op12_subset_sums,
     "op13_merkle_witnesses": op13_merkle_witnesses,
 }
