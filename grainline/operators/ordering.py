@@ -1,14 +1,23 @@
 """Numbering and running sums over one global order.
 
 A window without partition keys sends every row to one task.  Here rows are cut
-into slices of the order itself, each slice is handled on its own, and one small
-row per slice carries what came before it.  The bounds of the slices are drawn
-once from a sample; after that a row's slice depends on the row alone, so nothing
-has to be written and a task that is run again gives the same rows.
+into ranges of the order itself, each range is handled on its own, and one small
+row per range carries what came before it.
+
+Ranges are cut on two levels.  A sample of fixed size gives the bounds of 1,024
+slices; a sample of a fixed share of the rows cuts each slice into parts.  Bounds
+are data, an array that every row searches in ten steps, so the plan doesn't grow
+with their number, and nothing runs before the result is asked for.  What is
+carried is summed first over the parts of a slice, then over the slices, so no
+window over it is longer than 1,024 rows.  A row's range depends on the row
+alone: a task that is run again gives the same rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,10 +27,14 @@ from grainline.functions import TOTAL, total
 from grainline.functions._columns import Names, as_names
 from grainline.operators._joins import join_groups
 
-#: Slices at most; a row finds its slice in ten comparisons.
+#: Slices of the order, and parts of a slice, at most.
 SLICES = 1024
-#: Rows of the sample for each slice.
+#: Rows of a sample for each range.
 DRAWN = 32
+#: One of so many rows is drawn to cut a slice: a part has about a million rows.
+EVERY = 32_768
+
+RANGE = ["_slice", "_part"]
 
 
 def sort_columns(order: list[str]) -> list[Column]:
@@ -38,73 +51,159 @@ def _ascending(df: DataFrame, order: list[str]) -> Column:
     for i, name in enumerate(order):
         column = F.col(name.removeprefix("-"))
         kind = df.schema[name.removeprefix("-")].dataType
-        value = column
-        if name.startswith("-"):
-            if isinstance(kind, T.DateType):
-                value = -F.unix_date(column)
-            elif isinstance(kind, T.NumericType):
-                value = -column
-            else:
-                raise TypeError(f"{name[1:]!r} is no number or date and can't be descending")
+        value = _reversed(column, kind) if name.startswith("-") else column
         fields += [column.isNull().alias(f"n{i}"), value.alias(f"v{i}")]
     return F.struct(*fields)
 
 
-def _sliced(df: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``_slice``, the number of the slice that a row belongs to.
+def _reversed(column: Column, kind: T.DataType) -> Column:
+    """A value that ascends where the column descends."""
+    if isinstance(kind, T.NumericType):
+        return -column
+    if isinstance(kind, T.DateType):
+        return -F.unix_date(column)
+    if isinstance(kind, T.TimestampType):
+        return -F.unix_micros(column)
+    if isinstance(kind, T.BooleanType):
+        return ~column
+    if isinstance(kind, T.StringType):
+        # Complemented digits of the bytes; the end comes after every digit.
+        digits = F.translate(F.hex(column), "0123456789ABCDEF", "FEDCBA9876543210")
+        return F.concat(digits, F.lit("G"))
+    raise TypeError(f"{kind.simpleString()} columns can't be descending")
+
+
+def _bounds(parts: Column) -> Column:
+    """Keys that cut the sorted sample ``_drawn`` into so many equal pieces."""
+    size = F.size("_drawn")
+    cut = lambda i: F.get(F.col("_drawn"), F.floor(size * i / parts).cast("int"))
+    inner = F.transform(F.sequence(F.lit(1), parts - 1), cut)
+    return F.when((parts > 1) & (size > 0), inner).otherwise(F.slice(F.col("_drawn"), 1, 0))
+
+
+def _place(bounds: str) -> Column:
+    """Number of bounds up to the row's key, found by halving steps; never NULL."""
+    steps = F.array(*[F.lit(SLICES >> i) for i in range(1, SLICES.bit_length())])
+
+    def step(at: Column, width: Column) -> Column:
+        return F.when(F.get(F.col(bounds), at + width - 1) <= F.col("_k"), at + width).otherwise(at)
+
+    return F.coalesce(F.aggregate(steps, F.lit(0), step), F.lit(0))
+
+
+def sliced(df: DataFrame, order: list[str]) -> DataFrame:
+    """Add the range a row belongs to, ``_slice`` and ``_part``, and its key ``_k``.
+
+    Samples hold the rows with certain hashes.  The whole order makes up a bound,
+    so a value that fills many ranges, NULL included, is cut by the columns
+    after it.
+    """
+    keyed = df.withColumn("_k", _ascending(df, order))
+    hashed = F.xxhash64("_k")
+    drawn = keyed.select("_k").orderBy(hashed, "_k").limit(SLICES * DRAWN)
+    drawn = drawn.agg(F.array_sort(F.collect_list("_k")).alias("_drawn"))
+    first = drawn.select(_bounds(F.least(F.lit(SLICES), F.size("_drawn"))).alias("_bounds"))
+    in_slices = keyed.withColumn("_first", first.scalar()).withColumn("_slice", _place("_first")).drop("_first")
+
+    some = in_slices.select("_slice", "_k").filter(F.pmod(hashed, F.lit(EVERY)) == 0)
+    some = some.groupBy("_slice").agg(F.array_sort(F.collect_list("_k")).alias("_drawn"))
+    parts = F.least(F.lit(SLICES), F.floor(F.size("_drawn") / DRAWN).cast("int"))
+    finer = some.select(F.col("_slice").alias("_of"), _bounds(F.greatest(parts, F.lit(1))).alias("_second"))
+    # One row per slice, each with fewer than 1,024 bounds.
+    placed = in_slices.join(F.broadcast(finer), F.col("_slice") == F.col("_of"), "left")
+    part = F.when(F.col("_of").isNull(), 0).otherwise(_place("_second"))
+    return placed.withColumn("_part", part).drop("_of", "_second")
+
+
+def _all_before(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(W.unboundedPreceding, -1)
+
+
+#: What is carried: an aggregate, a column, and how to put together what the slices
+#: before give and what the parts before in the same slice give; either may be NULL.
+Carried = tuple[Callable[[str], Column], str, Callable[[Column, Column], Column]]
+
+
+def carry(ranges: DataFrame, keys: list[str], columns: dict[str, Carried]) -> DataFrame:
+    """Fold columns over the ranges before each one, for each key.
+
+    The ranges of a slice are one row while slices are summed up, so nothing is
+    joined, and no window is longer than a slice has parts or than there are slices.
+    """
+    parts = [c for c in ranges.columns if c not in (*keys, "_slice")]
+    folds = {f"_all_{out}": fold(c).alias(f"_all_{out}") for out, (fold, c, _) in columns.items()}
+    slices = ranges.groupBy(*keys, "_slice").agg(F.collect_list(F.struct(*parts)).alias("_ranges"), *folds.values())
+    before = _all_before(W.partitionBy(*keys).orderBy("_slice"))
+    above = {f"_above_{out}": fold(f"_all_{out}").over(before) for out, (fold, _, _) in columns.items()}
+    flat = slices.select(*keys, "_slice", "_ranges", *[c.alias(n) for n, c in above.items()])
+    flat = flat.select(*keys, "_slice", *above, F.inline("_ranges"))
+    inside = _all_before(W.partitionBy(*keys, "_slice").orderBy("_part"))
+    found = flat.withColumns({out: fold(c).over(inside) for out, (fold, c, _) in columns.items()})
+    return found.withColumns(
+        {out: join(F.col(f"_above_{out}"), F.col(out)) for out, (_, _, join) in columns.items()}
+    ).drop(*above)
+
+
+def _added(above: Column, inside: Column) -> Column:
+    return F.when(above.isNull(), inside).otherwise(above + F.coalesce(inside, F.lit(0)))
+
+
+def _total_before(column: str) -> Carried:
+    return F.sum, column, _added
+
 
-    The sample holds the rows with the least hashes, a bounded number.  The
-    whole order makes up a bound, so a value that fills many slices, NULL
-    included, is cut by the columns after it.
+def positions(
+    df: DataFrame,
+    group: Names,
+    order: list[str],
+    out: str,
+    weight: str | None = None,
+    limit: int | None = None,
+) -> DataFrame:
+    """One more than the rows before in the group's order, or than their ``weight``.
+
+    ``order`` ends in a column that is unique in its group.  With ``limit`` only
+    rows at positions up to it stay, and ranges that start beyond are not sorted:
+    a task holds one range of a group, whatever the limit.
     """
-    slices = min(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    keys = df.select(_ascending(df, order).alias("k"))
-    drawn = keys.orderBy(F.xxhash64("k"), "k").limit(slices * DRAWN)
-    rows = [r["k"] for r in drawn.orderBy("k").collect()]
-    bounds = [rows[len(rows) * i // slices] for i in range(1, slices)] if rows else []
-    kinds = keys.schema["k"].dataType.fields
-    mine = _ascending(df, order)
-
-    def at(low: int, high: int) -> Column:
-        """Number of bounds up to the row, which lies between two of them."""
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        bound = F.struct(
-            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(bounds[middle], kinds)]
-        )
-        return F.when(mine < bound, at(low, middle)).otherwise(at(middle + 1, high))
-
-    return df.withColumn("_slice", at(0, len(bounds)))
+    groups = as_names(group)
+    ranged = sliced(df, [*groups, *order]).drop("_k")
+    count = F.lit(1) if weight is None else F.col(weight)
+    sizes = ranged.groupBy(*groups, *RANGE).agg(F.sum(count.cast("long")).alias("_size"))
+    starts = carry(sizes, groups, {"_start": _total_before("_size")}).drop("_size")
+    starts = starts.withColumn("_start", F.coalesce("_start", F.lit(0)))
+    window = W.partitionBy(*groups, *RANGE).orderBy(*sort_columns(order))
+    if limit is not None:
+        starts = starts.filter(F.col("_start") < limit)
+        ranged = _joined(ranged, starts, groups)
+    before = F.coalesce(F.sum(count.cast("long")).over(_all_before(window)), F.lit(0))
+    inside = F.row_number().over(window) - 1 if weight is None else before
+    placed = ranged.withColumn("_inside", inside)
+    if limit is None:
+        placed = _joined(placed, starts, groups)
+    placed = placed.withColumn(out, F.col("_start") + F.col("_inside") + 1).drop("_start", "_inside", *RANGE)
+    return placed if limit is None else placed.filter(F.col(out) <= limit)
+
+
+def _joined(rows: DataFrame, ranges: DataFrame, groups: list[str], how: str = "inner") -> DataFrame:
+    """Attach what belongs to a row's range."""
+    renamed = ranges.withColumnsRenamed({c: f"_of{c}" for c in [*groups, *RANGE]})
+    matches = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in groups]
+    matches += [F.col(c) == F.col(f"_of{c}") for c in RANGE]
+    found = rows.join(renamed, reduce(lambda a, b: a & b, matches), how)
+    return found.drop(*[f"_of{c}" for c in [*groups, *RANGE]])
 
 
 def global_row_number(df: DataFrame, order: list[str], out: str = "row_num") -> DataFrame:
     """``ROW_NUMBER`` over all rows; ``order`` has to end in a unique column."""
-    sliced = _sliced(df, order)
-    sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_size"))
-    before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    # One row per slice, whatever the table holds.
-    starts = sizes.select(
-        "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
-    )
-    inside = F.row_number().over(W.partitionBy("_slice").orderBy(*sort_columns(order)))
-    numbered = sliced.withColumn("_inside", inside).join(F.broadcast(starts), "_slice")
-    return numbered.withColumn(out, F.col("_start") + F.col("_inside")).drop(
-        "_slice", "_start", "_inside"
-    )
+    return positions(df, [], order, out)
 
 
 def group_row_number(
     df: DataFrame, group: Names, order: list[str], out: str = "row_num"
 ) -> DataFrame:
     """``ROW_NUMBER`` inside each group without gathering a group in one task."""
-    groups = as_names(group)
-    numbered = global_row_number(df, [*groups, *order], "_overall")
-    firsts = numbered.groupBy(*groups).agg(F.min("_overall").alias("_first"))
-    placed = join_groups(numbered, firsts, groups)
-    return placed.withColumn(out, F.col("_overall") - F.col("_first") + 1).drop(
-        "_overall", "_first"
-    )
+    return positions(df, group, order, out)
 
 
 def compare_ranks(
@@ -118,13 +217,55 @@ def compare_ranks(
     """``ROW_NUMBER``, ``RANK`` and ``DENSE_RANK`` side by side, highest first.
 
     NULL values come last and share one rank.  ``key`` is unique and orders
-    tied rows.  A rank is the first row number of its value; a dense rank is
-    the row number among the distinct values.
+    tied rows.  All three come from the same ranges.  A range passes on how many
+    rows and distinct values it has, its last value and where that value began;
+    a value that began in an earlier range keeps its ranks.
     """
-    numbered = global_row_number(df, [f"-{value}", key], row_number)
-    values = numbered.groupBy(value).agg(F.min(row_number).alias(rank))
-    ranked = global_row_number(values, [f"-{value}"], dense_rank)
-    return join_groups(numbered, ranked, value)
+    ranged = sliced(df, [f"-{value}", key]).withColumn("_v", _ascending(df, [f"-{value}"])).drop("_k")
+    values = ranged.groupBy(*RANGE, "_v").agg(F.count("*").alias("_n"))
+    ranges = values.groupBy(*RANGE).agg(
+        F.sum("_n").alias("_size"),
+        F.count("*").alias("_values"),
+        F.min("_v").alias("_lowest"),
+        F.max("_v").alias("_last"),
+        F.max_by("_n", "_v").alias("_of_last"),
+    )
+    last = F.max, "_last", lambda above, inside: F.coalesce(inside, above)
+    ranges = carry(ranges, [], {"_start": _total_before("_size"), "_before": last})
+    start = F.coalesce("_start", F.lit(0))
+    goes_on = F.col("_before").isNotNull() & F.col("_before").eqNullSafe(F.col("_lowest"))
+    ranges = ranges.withColumns({"_start": start, "_goes_on": goes_on})
+    ranges = ranges.withColumns(
+        {
+            "_new": F.col("_values") - F.col("_goes_on").cast("int"),
+            # Where the range's last value begins, if it does so here.
+            "_began": F.when(
+                ~(F.col("_goes_on") & (F.col("_values") == 1)), F.col("_start") + F.col("_size") - F.col("_of_last")
+            ),
+        }
+    )
+    ranges = carry(ranges, [], {"_dense": _total_before("_new"), "_rank": (F.max, "_began", F.greatest)})
+    ranges = ranges.select(*RANGE, "_start", "_goes_on", F.coalesce("_dense", F.lit(0)).alias("_dense"), "_rank")
+
+    inside = W.partitionBy(*RANGE)
+    by_value = inside.orderBy(F.col(value).desc_nulls_last())
+    by_row = inside.orderBy(F.col(value).desc_nulls_last(), F.col(key).asc_nulls_last())
+    numbered = ranged.drop("_v").withColumns(
+        {
+            "_row_in": F.row_number().over(by_row),
+            "_rank_in": F.rank().over(by_value),
+            "_dense_in": F.dense_rank().over(by_value),
+        }
+    )
+    numbered = _joined(numbered, ranges, [])
+    earlier = F.col("_goes_on") & (F.col("_dense_in") == 1)
+    return numbered.withColumns(
+        {
+            row_number: F.col("_start") + F.col("_row_in"),
+            rank: F.when(earlier, F.col("_rank") + 1).otherwise(F.col("_start") + F.col("_rank_in")),
+            dense_rank: F.col("_dense") + F.col("_dense_in") - F.col("_goes_on").cast("int"),
+        }
+    ).drop(*RANGE, "_start", "_goes_on", "_dense", "_rank", "_row_in", "_rank_in", "_dense_in")
 
 
 def cumulative(
@@ -140,18 +281,18 @@ def cumulative(
     Rows that tie on ``order`` share one total, so the sum runs over one row
     per key and order value, which is joined back to the rows.  Dates are few
     per key by the calendar.  Any other order column may be different in every
-    row; that goes through range slices, which split a large key too.
+    row; that goes through ranges, which split a large key too.
     ``unique`` says that no two rows of a key tie, and saves the joining back.
     """
     keys = as_names(key)
     if unique:
-        return _sliced_running_sum(df, keys, order, value, out)
+        return _ranged_running_sum(df, keys, order, value, out)
     steps = df.groupBy(*keys, order).agg(total(value).alias("_step"))
     if isinstance(df.schema[order].dataType, T.DateType):
         running = _up_to_here(W.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last()))
         sums = steps.withColumn(out, F.sum("_step").over(running).cast(TOTAL))
     else:
-        sums = _sliced_running_sum(steps, keys, order, "_step", out)
+        sums = _ranged_running_sum(steps, keys, order, "_step", out)
     return join_groups(df, sums.drop("_step"), [*keys, order])
 
 
@@ -159,27 +300,20 @@ def _up_to_here(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
-def _sliced_running_sum(
+def _ranged_running_sum(
     df: DataFrame, keys: list[str], order: str, value: str, out: str
 ) -> DataFrame:
     """Running total of rows that are unique by key and order.
 
-    Slices are ranges of (key, order): a key that does not fit into one goes on
-    in the next.  So at most one key per slice has anything carried into it.
+    Ranges are those of (key, order): a key that does not fit into one goes on
+    in the next.  So at most one key per range has anything carried into it.
     """
-    sliced = _sliced(df, [*keys, order])
-    inside = _up_to_here(W.partitionBy("_slice", *keys).orderBy(*sort_columns([order])))
-    before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        sliced.groupBy("_slice", *keys)
-        .agg(F.sum(value).alias("_in_slice"))
-        .withColumn("_carried", F.sum("_in_slice").over(before))
-        .filter(F.col("_carried").isNotNull())
-        .drop("_in_slice")
-    )
-    sums = sliced.withColumn("_inside", F.sum(value).over(inside))
-    sums = join_groups(sums, F.broadcast(carried), ["_slice", *keys], "left")
-    running = F.when(F.col("_carried").isNull(), F.col("_inside")).otherwise(
-        F.col("_carried") + F.coalesce("_inside", F.lit(0))
+    ranged = sliced(df, [*keys, order]).drop("_k")
+    sums = ranged.groupBy(*keys, *RANGE).agg(F.sum(value).alias("_sum"))
+    carried = carry(sums, keys, {"_carried": _total_before("_sum")}).drop("_sum")
+    carried = carried.filter(F.col("_carried").isNotNull())
+    inside = _up_to_here(W.partitionBy(*keys, *RANGE).orderBy(*sort_columns([order])))
+    found = _joined(ranged.withColumn("_inside", F.sum(value).over(inside)), carried, keys, "left")
+    return found.withColumn(out, _added(F.col("_carried"), F.col("_inside")).cast(TOTAL)).drop(
+        *RANGE, "_inside", "_carried"
     )
-    return sums.withColumn(out, running.cast(TOTAL)).drop("_slice", "_inside", "_carried")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from grainline.functions._columns import Names, as_names
 from grainline.operators._joins import join_groups
+from grainline.operators.ordering import positions
 
-#: Rows per group that Spark keeps in each task before a shuffle, at most.
+#: Rows per group that each task sorts out before a shuffle, at most.
 CUT = 1000
 
 
@@ -30,23 +31,30 @@ def top_k_per_group(
     joined back.  ``out`` is not a column of the frame yet.
 
     Up to a thousand Spark cuts each task's rows to k per group before the
-    shuffle.  A larger k cuts a group in as many parts as it has thousands
-    first, so that no task holds more than a part or the candidates of all.
+    shuffle.  A larger k goes by counts: groups are cut into ranges of the order,
+    the counts of the ranges tell in which of them the k-th row is, and only rows
+    of ranges up to that one are sorted, each range in a task of its own.
     """
     groups = as_names(group)
     highest_first = F.col(value).desc_nulls_last()
     if method == "row_number":
         ties = as_names(tie)
+        if k > CUT:
+            found = positions(df, groups, [f"-{value}", *ties], out, limit=k)
+            return found.withColumn(out, F.col(out).cast("int"))
         order = [highest_first, *[F.col(t).asc_nulls_last() for t in ties]]
-        candidates = _candidates(df, groups, order, [value, *ties], k)
         number = F.row_number().over(W.partitionBy(*groups).orderBy(*order))
-        return candidates.withColumn(out, number).filter(F.col(out) <= k)
+        return df.withColumn(out, number).filter(F.col(out) <= k)
     if method not in ("rank", "dense_rank"):
         raise ValueError(f"unknown method {method!r}")
-    window = W.partitionBy(*groups).orderBy(highest_first)
     values = df.groupBy(*groups, value).agg(F.count("*").alias("_n"))
-    candidates = _candidates(values, groups, [highest_first], [value], k)
-    ranked = candidates.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= k)
+    if k > CUT:
+        weight = "_n" if method == "rank" else None
+        ranked = positions(values, groups, [f"-{value}"], out, weight, limit=k)
+        ranked = ranked.withColumn(out, F.col(out).cast("int"))
+        return join_groups(df, ranked.drop("_n"), [*groups, value])
+    window = W.partitionBy(*groups).orderBy(highest_first)
+    ranked = values.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= k)
     if method == "rank":
         before = F.sum("_n").over(window.rowsBetween(W.unboundedPreceding, -1))
         rank = (F.coalesce(before, F.lit(0)) + 1).cast("int")
@@ -54,19 +62,6 @@ def top_k_per_group(
     return join_groups(df, ranked.drop("_n"), [*groups, value])
 
 
-def _candidates(
-    df: DataFrame, groups: list[str], order: list[Column], spread: list[str], k: int
-) -> DataFrame:
-    """Rows that are among the first k of a part of their group."""
-    parts = k // CUT
-    if not parts:
-        return df
-    part = F.pmod(F.xxhash64(*spread), F.lit(parts + 1))
-    place = F.row_number().over(W.partitionBy(*groups, "_part").orderBy(*order))
-    placed = df.withColumn("_part", part).withColumn("_place", place)
-    return placed.filter(F.col("_place") <= k).drop("_part", "_place")
-
-
 def top_k(df: DataFrame, value: str, k: int, tie: Names = ()) -> DataFrame:
     """The ``k`` highest rows overall, kept as a small heap in every task."""
     ties = [F.col(t).asc_nulls_last() for t in as_names(tie)]

@@ -188,21 +188,22 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 def region_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Sales by region of the seller and type of the part.
 
-    One row for each supplier and part; their attributes are joined to those.
+    Sellers have few regions, so lines are folded to one row for each region and
+    part; a pair of seller and part is near unique.  The part's type is joined to
+    those rows.
     """
-    lines = table(spark, folder, "lineitem")
-    sums = lines.groupBy("l_suppkey", "l_partkey").agg(
-        total(money("l_extendedprice")).alias("sales_amount")
+    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_partkey", "l_extendedprice")
+    sellers = table(spark, folder, "supplier").join(
+        _nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    sums = (
+        lines.join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy(F.col("r_name").alias("region"), "l_partkey")
+        .agg(total(money("l_extendedprice")).alias("sales_amount"))
     )
-    sellers = table(spark, folder, "supplier")
     parts = table(spark, folder, "part")
-    return (
-        sums.join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(_nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.col("r_name").alias("region"), F.col("p_type").alias("product"), "sales_amount"
-        )
+    return sums.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        "region", F.col("p_type").alias("product"), "sales_amount"
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plan_text import plan_of
 
 from grainline import operators as op
+from grainline.operators import ordering
 
 SALARIES = "id bigint; dept string; s decimal(12,2)"
 
@@ -79,22 +80,42 @@ def test_top_k_equals_a_plain_window(spark, rows, method, k):
     assert found.schema["rnk"].dataType == plain.schema["rnk"].dataType
 
 
+@pytest.fixture(params=["one level", "two levels"])
+def ranges(request, monkeypatch):
+    """Ranges as they are, and many small ones on both levels."""
+    if request.param == "two levels":
+        monkeypatch.setattr(ordering, "SLICES", 8)
+        monkeypatch.setattr(ordering, "DRAWN", 3)
+        monkeypatch.setattr(ordering, "EVERY", 5)
+
+
 @pytest.mark.parametrize("method", ["row_number", "rank", "dense_rank"])
-@pytest.mark.parametrize("k", [1001, 5000])
-def test_a_large_k_cuts_parts_of_a_group_first(spark, rows, method, k):
-    df = spark.range(30000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"),
-        F.col("id").alias("v"),
+@pytest.mark.parametrize("k", [1001, 20000])
+def test_a_large_k_sorts_ranges_of_a_group(spark, rows, method, k, ranges):
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("g"),
+        F.when(F.col("id") % 50 > 0, F.col("id") % 15000).alias("v"),
+        "id",
     )
-    found = op.top_k_per_group(df, "g", "v", k, method=method)
-    hot = rows(found.filter("g = 'hot'"), "v", "rnk")
-    assert sorted(r for _, r in hot) == list(range(1, k + 1))
-    assert min(v for v, _ in hot) == 29997 - 3 * (k - 1)
+    tie = ["id"] if method == "row_number" else []
+    window = W.partitionBy("g").orderBy(F.col("v").desc_nulls_last(), *tie)
+    plain = df.withColumn("rnk", getattr(F, method)().over(window)).filter(F.col("rnk") <= k)
+    found = op.top_k_per_group(df, "g", "v", k, method=method, tie=tie)
+    assert rows(found, "id", "g", "rnk") == rows(plain, "id", "g", "rnk")
+    assert all("_part" in line for line in plan_of(found).splitlines() if "row_number" in line)
+
+
+def test_ranges_beyond_the_limit_are_not_sorted(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SLICES", 64)
+    df = spark.range(64_000).select(F.lit(1).alias("g"), F.col("id").alias("v"))
+    found = op.top_k_per_group(df, "g", "v", 1500)
+    assert found.count() == 1500
+    # The rows reach the window through the join with the ranges that start in time.
     plan = plan_of(found)
-    assert "_part" in plan[plan.rindex("Window [") :]
+    assert "Join" in plan[plan.index("Window [") :]
 
 
-def test_ranks_equal_plain_windows(spark, rows):
+def test_ranks_equal_plain_windows(spark, rows, ranges):
     _, df = hot_rows(spark)
     by_value = W.orderBy(F.col("v").desc_nulls_last())
     plain = df.withColumns(
@@ -110,7 +131,7 @@ def test_ranks_equal_plain_windows(spark, rows):
 
 @pytest.mark.parametrize("key", [None, "g"])
 @pytest.mark.parametrize("order", ["id", "step", "day"])
-def test_running_totals_equal_a_plain_window(spark, rows, key, order):
+def test_running_totals_equal_a_plain_window(spark, rows, key, order, ranges):
     _, df = hot_rows(spark)
     df = df.withColumns(
         {
@@ -125,7 +146,7 @@ def test_running_totals_equal_a_plain_window(spark, rows, key, order):
 
 
 @pytest.mark.parametrize("key", [None, "g"])
-def test_unique_running_totals_equal_a_plain_window(spark, rows, key):
+def test_unique_running_totals_equal_a_plain_window(spark, rows, key, ranges):
     _, df = hot_rows(spark)
     window = W.partitionBy(*([key] if key else [])).orderBy("id")
     plain = df.withColumn("total", F.sum("v").over(window))
