@@ -8,7 +8,9 @@ copies makes no table of pairs.
 Every document joins the group of the least document that it shares a bucket with.
 A group is cut into blocks; each block, its group's first document included, is
 compared within.  Where a bucket then still holds documents of several classes,
-the blocks these are in are compared with each other.
+the blocks these are in are compared with each other.  A block is compared in two
+steps: a short sketch of each document tells which of them may have a partner
+there, and only their texts are moved.
 """
 
 from __future__ import annotations
@@ -28,8 +30,11 @@ from grainline.llm.components import components
 #: Documents and symbols (shingles, say) of a block, on average.
 BLOCK, SYMBOLS = 256, 1_000_000
 
-#: Compares documents: texts, further data of each, and the number of the class
-#: that each is in.  Yields pairs of places that link different classes.
+#: Given sketches and the number of the class that each document is in: which
+#: documents may be similar to one of another class.
+Screen = Callable[[list[bytes], np.ndarray], np.ndarray]
+#: Given texts, sketches and classes: places of similar documents of different
+#: classes, in pairs, as far as they join classes that weren't joined yet.
 Compare = Callable[[list[bytes], list[bytes], np.ndarray], Iterator[tuple[int, int]]]
 
 _PAIR = "a struct<d:bigint,h:bigint>, b struct<d:bigint,h:bigint>"
@@ -77,36 +82,63 @@ def row_of(d: str = "d", h: str = "h") -> Column:
     return F.struct(F.col(d).alias("d"), F.col(h).alias("h"))
 
 
-def _compared(compare: Compare, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links found in each block: rows by key, one for each document."""
-    kind = pa.struct([("d", pa.int64()), ("h", pa.int64())])
-
-    def links(rows: dict) -> pa.RecordBatch:
-        ends = list(rows)
-        classes = np.unique([r[0] for r in rows.values()], return_inverse=True)[1]
-        found = list(compare([r[1] for r in rows.values()], [r[2] for r in rows.values()], classes))
-        sides = [[{"d": ends[p[k]][0], "h": ends[p[k]][1]} for p in found] for k in (0, 1)]
-        return pa.RecordBatch.from_arrays([pa.array(s, kind) for s in sides], ["a", "b"])
-
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[tuple, tuple]]]:
+    """Blocks with several documents, (d, h) to the rest of their row, by key."""
     now, held = None, {}
     for batch in batches:
         key, d, h, label = (batch.column(i).to_pylist() for i in range(4))
-        texts, more = texts_of(batch.column(4)), texts_of(batch.column(5))
-        for k, *end, c, text, extra in zip(key, d, h, label, texts, more, strict=True):
+        rest = [texts_of(c) for c in batch.columns[4:]]
+        for k, d_, h_, *more in zip(key, d, h, label, *rest, strict=True):
             if k != now:
                 if len(held) > 1:
-                    yield links(held)
+                    yield now, held
                 now, held = k, {}
-            held[tuple(end)] = (c, text, extra)
+            held[d_, h_] = tuple(more)
     if len(held) > 1:
-        yield links(held)
+        yield now, held
+
+
+def _classes(held: dict[tuple, tuple]) -> np.ndarray:
+    return np.unique([r[0] for r in held.values()], return_inverse=True)[1]
+
+
+def _screened(screen: Screen, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each block that may have a partner in it."""
+    for key, held in _by_block(batches):
+        ends, classes = list(held), _classes(held)
+        at = np.flatnonzero(screen([r[1] for r in held.values()], classes))
+        labels = [r[0] for r in held.values()]
+        columns = [[key] * len(at), [ends[i][0] for i in at], [ends[i][1] for i in at], [labels[i] for i in at]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "d", "h", "label"])
+
+
+def _compared(compare: Compare, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links found in each block."""
+    kind = pa.struct([("d", pa.int64()), ("h", pa.int64())])
+    for _, held in _by_block(batches):
+        ends = list(held)
+        found = list(compare([r[2] for r in held.values()], [r[1] for r in held.values()], _classes(held)))
+        sides = [[{"d": ends[p[k]][0], "h": ends[p[k]][1]} for p in found] for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([pa.array(s, kind) for s in sides], ["a", "b"])
 
 
-def _links(dealt: DataFrame, texts: DataFrame, compare: Compare) -> DataFrame:
+def _links(dealt: DataFrame, sketches: DataFrame, rows: DataFrame, screen: Screen, compare: Compare) -> DataFrame:
     """Links between the documents dealt (key, row, label) to one key."""
-    whole = dealt.join(texts, (F.col("row.d") == F.col("d")) & (F.col("row.h") == F.col("h")))
-    rows = whole.select("key", "d", "h", "label", "text", "more").repartition("key").sortWithinPartitions("key")
-    return rows.mapInArrow(partial(_compared, compare), _PAIR)
+    same = lambda: (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h"))
+    of = sketches.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "sketch")
+    flat = dealt.select("key", "row.d", "row.h", "label")
+    known = flat.join(of, same()).select("key", "d", "h", "label", "sketch")
+    known = known.repartition("key").sortWithinPartitions("key")
+    likely = stored(known.mapInArrow(partial(_screened, screen), "key long, d long, h long, label long"))
+
+    needed = likely.select("d", "h").distinct()
+    passes = repeats.bloom(needed)(F.col("d"), F.col("h"))
+    ends = needed.select(F.col("d").alias("_d"), F.col("h").alias("_h"))
+    texts = rows.where(passes).join(ends, same(), "left_semi").groupBy("d", "h").agg(F.first("text").alias("text"))
+    texts = texts.join(of, same()).select(F.col("d").alias("_1"), F.col("h").alias("_2"), "sketch", "text")
+    whole = likely.join(texts, (F.col("d") == F.col("_1")) & (F.col("h") == F.col("_2")))
+    whole = whole.select("key", "d", "h", "label", "sketch", "text").repartition("key").sortWithinPartitions("key")
+    return whole.mapInArrow(partial(_compared, compare), _PAIR)
 
 
 def _counted(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -126,31 +158,36 @@ def shared_buckets(members: DataFrame) -> DataFrame:
     return members.join(stars.where("n > 1"), F.col("bucket") == F.col("_b")).drop("_b", "n")
 
 
+def often_shared(members: DataFrame, least: Column) -> DataFrame:
+    """Members of the rows that have at least so many buckets with other rows."""
+    shared = stored(shared_buckets(members))
+    enough = shared.groupBy(F.col("row").alias("_row"), "size").agg(F.count("*").alias("_n"))
+    enough = enough.where(F.col("_n") >= least)
+    return shared.join(enough.select("_row"), F.col("row") == F.col("_row"), "left_semi").drop("star")
+
+
 def classes(
-    members: DataFrame, rows: DataFrame, extra: DataFrame | None, compare: Compare, ratio: float = 0.0
+    members: DataFrame,
+    rows: DataFrame,
+    sketches: DataFrame,
+    screen: Screen,
+    compare: Compare,
+    ratio: float = 0.0,
+    least: Column | None = None,
 ) -> DataFrame:
     """`node` and `root`, the least row of its class, for rows that aren't roots.
 
     `members` has bucket, row (d, h) and size (symbols); no row is twice in a
-    bucket.  `rows` has d, h and text, `extra` d, h and more (binary).  All pairs
-    of rows that share a bucket are compared, but for those that are known to be
-    in one class.  Rows whose sizes differ by more than `ratio` may be left out.
+    bucket.  `rows` has d, h and text, `sketches` d, h and sketch (binary).  All
+    pairs of rows that share a bucket are compared, but for those that are known
+    to be in one class.  Rows whose sizes differ by more than `ratio` may be left
+    out, and so may rows of a size that share fewer than `least` buckets.
     """
+    if least is not None:
+        # What shared with a row that is out may be out as well.
+        members = often_shared(often_shared(members, least), least)
     shared = stored(shared_buckets(members))
-    groups = shared.groupBy("row", "size").agg(F.min("star").alias("group"))
-    groups = stored(groups)
-    needed = groups.select("row.d", "row.h")
-    passes = repeats.bloom(needed)(F.col("d"), F.col("h"))
-    ends = needed.select(F.col("d").alias("_d"), F.col("h").alias("_h"))
-    same = (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h"))
-    texts = rows.where(passes).join(ends, same, "left_semi").groupBy("d", "h").agg(F.first("text").alias("text"))
-    if extra is None:
-        texts = texts.withColumn("more", F.lit(None).cast("binary"))
-    else:
-        of = extra.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "more")
-        texts = texts.join(of, same).select("d", "h", "text", "more")
-    texts = stored(texts)
-
+    groups = stored(shared.groupBy("row", "size").agg(F.min("star").alias("group")))
     counted = stored(_counted(groups, ["group"]))
     in_group = groups.join(counted, F.col("group") == F.col("_group"))
     placed = in_group.select(F.xxhash64("group", _place()).alias("key"), "row", "group", "blocks", "size")
@@ -159,8 +196,7 @@ def classes(
     )
     dealt = placed.where("row != group").select("key", "row").union(firsts.select(F.xxhash64("row", "at"), "row"))
     dealt = dealt.withColumn("label", F.xxhash64("row"))
-    links = stored(_links(dealt, texts, compare))
-    roots = components(links)
+    roots = components(_links(dealt, sketches, rows, screen, compare))
 
     named = shared.join(roots, F.col("row") == F.col("node"), "left").select(
         "bucket", "row", "size", F.coalesce("root", "row").alias("root")
@@ -173,7 +209,7 @@ def classes(
     dealt = both.join(blocks, F.col("at") == F.col("block")).select(
         "key", "row", F.xxhash64("root").alias("label")
     )
-    more = _links(dealt, texts, compare)
+    more = _links(dealt, sketches, rows, screen, compare)
     joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return components(joined.union(more))
 
