@@ -6,25 +6,23 @@ register, and a register keeps the shingle of its first arrival.  Two documents'
 registers agree with the probability Jaccard similarity of their weights.
 Arrivals are drawn only until no later one can come first anywhere.
 
-Documents that agree in a band of registers are compared exactly, in stars
-around the first document of a bucket; links verified that way make up classes,
-and documents of a bucket that are still in several classes are compared again.
+Documents that agree in a band of registers share a bucket.  They are compared
+exactly, in blocks; links verified that way make up classes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainline.llm import repeats
+from grainline.llm import blocks, repeats
+from grainline.llm.blocks import row_of
 from grainline.llm.common import MIX, bound_batches, chunks, mixed, starts_of, stored, texts_of
-from grainline.llm.components import components
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -35,11 +33,9 @@ REGISTERS = BANDS * ROWS
 #: Pairs in a bucket are compared exactly from this share of equal registers on,
 #: three standard deviations under 0.8.
 ESTIMATE = 0.7
-#: Documents of a bucket that are held against each other at once.
-BLOCK = 256
 
 #: `c1`, `c2` name the sequence of words; `bands` and `marks` are null without words.
-SIGNED = "d long, h long, c1 long, c2 long, bands array<long>, marks binary"
+SIGNED = "d long, h long, c1 long, c2 long, size long, bands array<long>, marks binary"
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -97,24 +93,29 @@ def registers(name: np.ndarray, weight: np.ndarray, owner: np.ndarray, n_texts:
 
 
 def similarity(one: bytes, two: bytes) -> float:
-    """Probability Jaccard similarity of two texts' shingles.
+    """Probability Jaccard similarity of two texts' shingles."""
+    name, weight, owner, _ = shingles([one, two])
+    return _jaccard(*(x[owner == i] for i in (0, 1) for x in (name, weight)))
+
+
+def _jaccard(name_a: np.ndarray, a: np.ndarray, name_b: np.ndarray, b: np.ndarray) -> float:
+    """Probability Jaccard similarity of two weightings; names are sorted.
 
     It is the sum over common shingles i of 1 / sum_j max(a_j / a_i, b_j / b_i).
     """
-    name, weight, owner, _ = shingles([one, two])
-    names, at = np.unique(name, return_inverse=True)
-    a, b = np.zeros(len(names)), np.zeros(len(names))
-    a[at[owner == 0]], b[at[owner == 1]] = weight[owner == 0], weight[owner == 1]
-    both = (a > 0) & (b > 0)
+    at = np.searchsorted(name_b, name_a)
+    both = name_b[np.minimum(at, len(name_b) - 1)] == name_a
     if not both.any():
         return 0.0
-    ratio = np.divide(b, a, out=np.full(len(a), np.inf), where=a > 0)
-    order = np.argsort(ratio)
-    lower = np.concatenate([[0.0], np.cumsum(a[order])])
-    upper = np.concatenate([[0.0], np.cumsum(b[order])])
-    split = np.searchsorted(ratio[order], ratio[both], side="right")
-    whole = lower[split] + (upper[-1] - upper[split]) / ratio[both]
-    return float((a[both] / whole).sum())
+    at = at[both]
+    ratio = b[at] / a[both]
+    order = np.argsort(ratio, kind="stable")
+    ratio, a_both, b_both = ratio[order], a[both][order], b[at][order]
+    # A shingle of one text alone has the ratio 0 or infinity.
+    lower = np.cumsum(a_both) + (a.sum() - a_both.sum())
+    upper = b.sum() - np.cumsum(b_both)
+    last = np.searchsorted(ratio, ratio, side="right") - 1
+    return float((a_both / (lower[last] + upper[last] / ratio)).sum())
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,148 +141,44 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     hs.slice(a, b - a),
                     pa.array(np.array(one, np.uint64).view(np.int64)),
                     pa.array(np.array(two, np.uint64).view(np.int64)),
+                    pa.array(np.bincount(owner, minlength=b - a)),
                     pa.array([list(k) if x else None for k, x in zip(key, some, strict=True)], pa.list_(pa.int64())),
                     pa.array([m.tobytes() if x else None for m, x in zip(marks, some, strict=True)], pa.binary()),
                 ],
-                ["d", "h", "c1", "c2", "bands", "marks"],
+                ["d", "h", "c1", "c2", "size", "bands", "marks"],
             )
 
 
-def _row(d: str = "d", h: str = "h") -> Column:
-    """A row's identity, ordered by doc_id."""
-    return F.struct(F.col(d).alias("d"), F.col(h).alias("h"))
+def _pairs(sketches: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of likely pairs of different classes and their share of equal registers."""
+    marks = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, REGISTERS)
+    share = np.array([(marks == own).mean(axis=1) for own in marks])
+    i, j = np.nonzero(np.triu(share >= ESTIMATE, k=1) & (classes[:, None] != classes[None, :]))
+    return i, j, share[i, j]
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ones, twos = texts_of(batch.column(2)), texts_of(batch.column(3))
-        good = [similarity(x, y) >= SIMILAR - 1e-12 for x, y in zip(ones, twos, strict=True)]
-        kept = batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-        if kept.num_rows:
-            yield kept
+def _likely(sketches: list[bytes], classes: np.ndarray) -> np.ndarray:
+    i, j, _ = _pairs(sketches, classes)
+    out = np.zeros(len(sketches), bool)
+    out[i] = out[j] = True
+    return out
 
 
-def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of `pairs` (a, b) whose texts are similar enough.
+def _linked(texts: list[bytes], sketches: list[bytes], classes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Similar texts of different classes, likeliest ones first.
 
-    Texts reach their pairs by two joins, so a document with very many partners
-    is joined to them wherever they are.
-    """
-    ends = pairs.select("a.d", "a.h").union(pairs.select("b.d", "b.h")).distinct()
-    passes = repeats.bloom(ends)(F.col("d"), F.col("h"))
-    texts = rows.where(passes).groupBy("d", "h").agg(F.first("text").alias("text"))
-    one = texts.select(F.col("d").alias("d1"), F.col("h").alias("h1"), F.col("text").alias("one"))
-    two = texts.select(F.col("d").alias("d2"), F.col("h").alias("h2"), F.col("text").alias("two"))
-    both = pairs.join(one, (F.col("a.d") == F.col("d1")) & (F.col("a.h") == F.col("h1"))).select("a", "b", "one")
-    both = both.join(two, (F.col("b.d") == F.col("d2")) & (F.col("b.h") == F.col("h2")))
-    kind = "struct<d:bigint,h:bigint>"
-    return both.select("a", "b", "one", "two").mapInArrow(_verify, f"a {kind}, b {kind}")
-
-
-def _near(best: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of two blocks of a bucket in different classes.
-
-    A pair is put out in the first band that it shares.  With `best` a document
-    names only its likeliest partner.
-    """
-    kind = pa.struct([("d", pa.int64()), ("h", pa.int64())])
-    for rows in repeats.by_key(batches):
-        at = 0
-        while at < len(rows):
-            end = at
-            while end < len(rows) and rows[end][0] == rows[at][0]:
-                end += 1
-            group, at = rows[at:end], end
-            left = [x for x in group if x[1] == 0]
-            right = [x for x in group if x[1] == 1]
-            within = not right
-            right = right or left
-            if not left:
-                continue
-            one, two = (
-                [
-                    np.array([x[4] for x in side], np.int64),
-                    np.frombuffer(b"".join(x[5] for x in side), np.uint8).reshape(-1, REGISTERS),
-                    np.array([x[6] for x in side], np.int64),
-                ]
-                for side in (left, right)
-            )
-            share = np.array([(two[1] == marks).mean(axis=1) for marks in one[1]])
-            likely = (share >= ESTIMATE) & (one[0][:, None] != two[0][None, :])
-            if within:
-                likely &= np.tri(len(left), k=-1, dtype=bool).T
-            i, j = np.nonzero(likely)
-            common = one[2][i] == two[2][j]
-            here = one[2][i] == np.array([x[2] for x in left], np.int64)[i][:, None]
-            first = common.argmax(axis=1) == here.argmax(axis=1)
-            i, j = i[first], j[first]
-            if best and len(i):
-                order = np.argsort(-share[i, j], kind="stable")
-                of_i, of_j = np.unique(i[order], return_index=True)[1], np.unique(j[order], return_index=True)[1]
-                chosen = order[np.union1d(of_i, of_j)]
-                i, j = i[chosen], j[chosen]
-            if len(i):
-                ends = [left[x][3] for x in i], [right[y][3] for y in j]
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c in ends], ["a", "b"])
-
-
-def _unresolved(shared: DataFrame, firsts: DataFrame, roots: DataFrame, tried: DataFrame, best: bool) -> DataFrame:
-    """Pairs (a > b) that may be similar, of one bucket and two classes, not tried yet.
-
-    A large bucket is cut into blocks, those of its largest class and those of
-    the rest.  Rows of the largest class have nothing to be compared with among
-    themselves, so a copy of each goes only to the blocks of the rest, and the
-    rest meets all blocks; only likely pairs are put out.
+    What is joined already isn't compared again.
     """
-    named = shared.join(roots, F.col("row") == F.col("node"), "left").select(
-        "bucket", "row", F.coalesce("root", "row").alias("root")
-    )
-    mixed_up = (
-        named.groupBy(F.col("bucket").alias("_b"))
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-        .where("lo < hi")
-        .select("_b", "n")
-    )
-    open_rows = stored(named.join(mixed_up, F.col("bucket") == F.col("_b")).drop("_b"))
-    sizes = open_rows.where(F.col("n") > BLOCK).groupBy("bucket", "root").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy(F.col("bucket").alias("_b")).agg(
-        F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("classes")
-    )
-    details = firsts.select(F.col("row").alias("_row"), "marks", "bands")
-    details = details.join(open_rows.select("row").distinct(), F.col("_row") == F.col("row"), "left_semi")
-    dealt = open_rows.join(largest, F.col("bucket") == F.col("_b"), "left").drop("_b")
-    # A bucket of one block has no class apart.
-    of_most = F.coalesce(F.col("root") == F.col("most.root"), F.lit(False))
-    size = F.coalesce("most.size", F.lit(0))
-    apart, rest = (F.ceil(x / BLOCK).cast("int") for x in (size, F.col("n") - size))
-    block = lambda blocks: F.pmod(F.xxhash64("row"), F.greatest(blocks, F.lit(1))).cast("int")
-    # Two classes have no pairs within the rest either.
-    among_rest = of_most | (F.coalesce("classes", F.lit(3)) > 2)
-    dealt = dealt.select(
-        "bucket",
-        "row",
-        "root",
-        F.when(of_most, block(apart)).otherwise(apart + block(rest)).alias("own"),
-        F.when(of_most, apart).otherwise(F.lit(0)).alias("begin"),
-        (F.when(among_rest, apart + rest).otherwise(apart) - 1).alias("end"),
-    )
-    dealt = dealt.join(details, F.col("row") == F.col("_row"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence("begin", "end")))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    placed = dealt.select(
-        F.xxhash64("bucket", low, high).alias("key"),
-        F.when(F.col("own") == low, 0).otherwise(1).alias("side"),
-        "bucket",
-        "row",
-        F.xxhash64("root").alias("root"),
-        "marks",
-        "bands",
-    )
-    kind = "struct<d:bigint,h:bigint>"
-    placed = placed.repartition("key").sortWithinPartitions("key")
-    found = placed.mapInArrow(partial(_near, best), f"a {kind}, b {kind}")
-    found = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    return stored(found.join(tried, ["a", "b"], "left_anti"))
+    name, weight, owner, _ = shingles(texts)
+    ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+    sets = [(name[a:b], weight[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    i, j, share = _pairs(sketches, classes)
+    forest = blocks.Forest(classes)
+    for at in np.argsort(-share, kind="stable"):
+        x, y = int(i[at]), int(j[at])
+        if forest.root(x) != forest.root(y) and _jaccard(*sets[x], *sets[y]) >= SIMILAR - 1e-12:
+            forest.join(x, y)
+            yield x, y
 
 
 def classes_of(docs: DataFrame) -> DataFrame:
@@ -292,23 +189,17 @@ def classes_of(docs: DataFrame) -> DataFrame:
     # Equal sequences of words need no comparing; their first row stands for them.
     copies = signed.where("bands is not null").groupBy("c1", "c2")
     firsts = stored(
-        copies.agg(F.min(_row()).alias("row"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
+        copies.agg(
+            F.min(row_of()).alias("row"),
+            F.first("size").alias("size"),
+            F.first("bands").alias("bands"),
+            F.first("marks").alias("marks"),
+        )
     )
-    members = firsts.select(F.explode("bands").alias("bucket"), "row")
-    stars = members.groupBy(F.col("bucket").alias("_b")).agg(F.min("row").alias("star"), F.count("*").alias("n"))
-    stars = stars.where("n > 1")
-    shared = stored(members.join(stars, F.col("bucket") == F.col("_b")).drop("_b"))
-    tried = stored(shared.where("row > star").select(F.col("row").alias("a"), F.col("star").alias("b")).distinct())
-    roots = components(verified(rows, tried))
-    shared = shared.where("n > 2").select("bucket", "row")
-    # Likeliest partners first: most classes are joined by few comparisons, and
-    # all that may still be similar across classes is compared after that.
-    for best in (True, False):
-        more = _unresolved(shared, firsts, roots, tried, best)
-        tried = tried.union(more)
-        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(joined.union(verified(rows, more)))
-    first = F.coalesce("row", _row())
+    members = firsts.select(F.explode("bands").alias("bucket"), "row", "size")
+    sketches = firsts.select("row.d", "row.h", F.col("marks").alias("sketch"))
+    roots = blocks.classes(members, rows, sketches, _likely, _linked)
+    first = F.coalesce("row", row_of())
     placed = signed.select("d", "h", "c1", "c2", F.col("bands").isNotNull().alias("some")).alias("s").join(
         firsts.select(F.col("c1").alias("_1"), F.col("c2").alias("_2"), "row"),
         (F.col("c1") == F.col("_1")) & (F.col("c2") == F.col("_2")) & F.col("some"),
@@ -334,15 +225,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     last = F.lit(repeats.NO_ID)
     doc = lambda c: F.when(F.col(c) != last, F.col(c))
     return classes_of(docs).select(
-        doc("d").alias("doc_id"), doc("root.d").alias("class_id"), (_row() == F.col("root")).alias("kept")
+        doc("d").alias("doc_id"), doc("root.d").alias("class_id"), (row_of() == F.col("root")).alias("kept")
     )
 
 
 def deduplicated_documents(docs: DataFrame) -> DataFrame:
-    """One row of each class of `docs`, the first, with all columns."""
+    """One row of each class of `docs`, the first, with all columns.
+
+    Of rows that share doc_id and text, the one whose other columns come first,
+    as JSON, stays.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     classes = stored(classes_of(docs))
-    gone = classes.where(_row() != F.col("root")).select("d", "h", F.lit(0).alias("go"))
+    gone = classes.where(row_of() != F.col("root")).select("d", "h", F.lit(0).alias("go"))
     again = classes.groupBy("d", "h").count().where("count > 1").select("d", "h", F.lit(1).alias("go"))
     rows = docs.select(
         repeats.id_or_last(F.col("doc_id")).alias("d"),
@@ -351,4 +246,5 @@ def deduplicated_documents(docs: DataFrame) -> DataFrame:
     )
     some, rest = repeats.with_lists(rows, stored(gone.union(again)))
     some = some.where(F.coalesce(~F.exists("listed", lambda x: x.go == 0), F.lit(True)))
-    return rest.select("whole.*").union(some.dropDuplicates(["d", "h"]).select("whole.*"))
+    once = some.groupBy("d", "h").agg(F.min_by("whole", F.to_json("whole")).alias("whole"))
+    return rest.select("whole.*").union(once.select("whole.*"))

@@ -4,10 +4,10 @@ import random
 
 import brute
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from grainline.llm import blocks
 from grainline.llm import probminhash as near
 from grainline.llm.components import components
 
@@ -51,7 +51,7 @@ def test_a_whole_table_equals_all_pairs(spark, folder, rows):
 
 
 def test_a_large_group_of_near_copies_is_one_class(spark, rows, monkeypatch):
-    monkeypatch.setattr(near, "BLOCK", 16)
+    monkeypatch.setattr(blocks, "BLOCK", 16)
     draw = random.Random(3)
     base = [f"w{i}" for i in range(300)]
     docs = [(i, " ".join(base if i == 0 else edited(draw, base, 4))) for i in range(150)]
@@ -112,47 +112,71 @@ def test_texts_with_one_short_hash_and_no_id_stay_apart(spark, rows):
     assert rows(near.deduplicated_documents(more), "doc_id", "text") == [(1, docs[0][1]), (None, docs[1][1])]
 
 
-def bucket_of(spark, sizes):
-    """One bucket of classes of the given sizes, all marks equal."""
-    kind, links = "struct<d:long,h:long>", []
-    number = 0
-    for n in sizes:
-        links += [((number + i, 0), (number, 0)) for i in range(n)]
-        number += n
-    members = [(5, x) for x, _ in links]
-    details = [(x, [5, *range(100, 127)], bytes(near.REGISTERS)) for x, _ in links]
-    return links, (
-        spark.createDataFrame(members, f"bucket long, row {kind}"),
-        spark.createDataFrame(details, f"row {kind}, bands array<long>, marks binary"),
-        spark.createDataFrame([x for x in links if x[0] != x[1]], f"node {kind}, root {kind}"),
-        spark.createDataFrame([], f"a {kind}, b {kind}"),
-    )
+ROW = "struct<d:long,h:long>"
 
 
-@pytest.mark.parametrize("sizes", [(60, 20, 1, 1), (40, 30), (50, 1), (5, 4, 1)])
-def test_all_pairs_between_classes_of_a_bucket_are_compared(spark, monkeypatch, sizes):
-    monkeypatch.setattr(near, "BLOCK", 16)
-    links, frames = bucket_of(spark, sizes)
-    found = [(r["a"]["d"], r["b"]["d"]) for r in near._unresolved(*frames, best=False).collect()]
-    expected = [(x[0], y[0]) for x, a in links for y, b in links if x > y and a != b]
-    assert sorted(found) == sorted(expected)
+def number_links():
+    """Texts are numbers; those two apart or nearer link.  (By value, for executors.)"""
 
+    def screen(sketches, classes):
+        return np.ones(len(sketches), bool)
 
-def test_a_stranger_does_not_deal_a_large_class_to_all_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near, "BLOCK", 16)
+    def compare(texts, sketches, classes):
+        values = np.array([int(t) for t in texts])
+        return blocks.spanning(np.abs(values[:, None] - values[None, :]) <= 2, classes)
 
-    def one_a_row(best, batches):
-        import uuid
+    return screen, compare
 
-        for batch in batches:
-            ends = [(uuid.uuid4().int >> 66, 0) for _ in range(batch.num_rows)]
-            kind = pa.struct([("d", pa.int64()), ("h", batch.schema.field("row").type.field("h").type)])
-            column = pa.array([{"d": d, "h": h} for d, h in ends], kind)
-            yield pa.RecordBatch.from_arrays([column, column], ["a", "b"])
 
-    monkeypatch.setattr(near, "_near", one_a_row)
-    _, frames = bucket_of(spark, (1600, 1))
-    assert near._unresolved(*frames, best=False).count() == 1600 + 100
+@pytest.mark.parametrize("block, values", [(256, range(0, 900, 2)), (8, range(0, 900, 2)), (4, [1, 2, 3] * 30), (8, [])])
+def test_all_documents_of_a_bucket_are_compared(spark, monkeypatch, block, values):
+    monkeypatch.setattr(blocks, "BLOCK", block)
+    draw = random.Random(block)
+    values = [v for v in values if draw.random() < 0.8]
+    members = [(v + i, (n, 0), 1) for n, v in enumerate(values) for i in range(3)]
+    texts = [(n, 0, str(v)) for n, v in enumerate(values)]
+    found = blocks.classes(
+        spark.createDataFrame(members, f"bucket long, row {ROW}, size long"),
+        spark.createDataFrame(texts, "d long, h long, text string"),
+        spark.createDataFrame(texts, "d long, h long, sketch string").withColumn("sketch", F.col("sketch").cast("binary")),
+        *number_links(),
+    )
+    roots = {r["node"]["d"]: r["root"]["d"] for r in found.collect()}
+    forest = blocks.Forest(np.arange(len(values)))
+    for i, v in enumerate(values):
+        for j in range(i):
+            if abs(v - values[j]) <= 2:
+                forest.join(i, j)
+    assert [roots.get(i, i) for i in range(len(values))] == [forest.root(i) for i in range(len(values))]
+
+
+def test_blocks_of_one_class_are_not_compared_with_each_other(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK", 16)
+    rows = [(5, (i, 0), 1, (0, 0)) for i in range(1600)] + [(5, (i, 0), 1, (i, 0)) for i in range(1600, 1603)]
+    unsettled = spark.createDataFrame(rows, f"bucket long, row {ROW}, size long, root {ROW}")
+    zero = F.lit(0).cast("long")
+    first = F.struct(zero.alias("d"), zero.alias("h"))
+    in_group = unsettled.select("row", first.alias("group"), F.lit(101).alias("blocks"))
+    placed = blocks._reblocked(unsettled, in_group)
+    pairs = blocks._block_pairs(unsettled, placed, 0.0)
+    of_class = placed.where("root.d = 0").select("block").distinct().count()
+    # The strangers' one block meets itself and every block of the class.
+    assert pairs.count() == of_class + 1 and of_class > 90
+
+
+def test_a_large_group_puts_out_a_forest():
+    """What leaves a task is at most one link for each document."""
+    texts = [b"5"] * 200
+    _, compare = number_links()
+    assert len(list(compare(texts, texts, np.arange(200)))) == 199
+    assert list(compare(texts, texts, np.zeros(200, int))) == []
+
+
+def test_rows_that_share_id_and_text_leave_the_least(spark, rows):
+    data = [(1, "a b", "z"), (1, "a b", "b"), (1, "a b", None), (2, "a  b", "c")]
+    frame = spark.createDataFrame(data, "doc_id long, text string, `a.b c-d` string")
+    kept = near.deduplicated_documents(frame.repartition(3))
+    assert rows(kept) == rows(near.deduplicated_documents(frame)) == [(1, "a b", "b")]
 
 
 def test_components_of_chains_and_stars(spark, rows):
