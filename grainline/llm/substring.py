@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from grainline.llm import repeats
 from grainline.llm.common import hex_sha256, stored, texts_of
@@ -221,8 +222,9 @@ def deduplicated_documents(docs: DataFrame) -> DataFrame:
         F.struct(*[F.col(f"`{c}`") for c in rest_of]).alias("others"),
     )
     some, rest = _listed(rows, "text", "listed", "empty", "others")
-    kind = rows.schema["others"].dataType.simpleString()
-    done = some.mapInArrow(_rewrite, f"text string, empty boolean, others {kind}").unionByName(
+    # As a type, not as text: a column may have any name.
+    schema = StructType([rows.schema[c] for c in ("text", "empty", "others")])
+    done = some.mapInArrow(_rewrite, schema).unionByName(
         rest.select("text", "empty", "others")
     )
     text = F.when(~F.col("empty"), F.col("text"))
