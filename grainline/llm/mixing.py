@@ -20,20 +20,21 @@ from grainline.llm.common import id_or_last, stored
 
 #: Fixed by the token's definition: words.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Exponents tried at once; rounds of search, each inside one step of the last.
-STEPS, ROUNDS = 32, 4
+#: Halvings of the interval of exponents: it ends shorter than 1e-8.
+HALVINGS = 27
 
 
 @dataclass(frozen=True)
 class Mix:
     """Production parameters.
 
-    `entropy` is the target as a part of the largest possible entropy,
-    `repetition` the most passes over any source, `budget` the tokens to draw as
-    a part of all tokens, and `block` the mean number of documents in a block.
+    `entropy` is the target's place between the entropy that the sources have (0)
+    and the largest possible one (1), `repetition` the most passes over any
+    source, `budget` the tokens to draw as a part of all tokens, and `block` the
+    mean number of documents in a block.
     """
 
-    entropy: float = 0.95
+    entropy: float = 0.5
     repetition: float = 2.0
     budget: float = 1.0
     block: int = 4096
@@ -58,65 +59,44 @@ def by_source(counts: DataFrame) -> DataFrame:
 
 
 def exponent(sources: DataFrame, mix: Mix) -> float:
-    """The exponent between 0 and 1 that `mix` asks for.
+    """The exponent between 0 and 1 that `mix` asks for, by bisection.
 
-    Entropy falls and repetition mostly rises as the exponent goes to 0.  It is
-    the largest one with the target entropy, or if a source would be repeated
-    too often, the smallest that keeps within the limit.  Each round aggregates
-    all sources for a row of exponents, so the list of sources may be long.
+    Entropy falls as the exponent rises from 0, where all weights are equal, to
+    1, where they are the shares; the most often repeated source, a small one,
+    is repeated less.  So it is the largest exponent that reaches the target
+    entropy, or if a source would be repeated too often, the smallest one that
+    keeps within the limit.  A step is one aggregate over the sources.
     """
     some = sources.where("tokens > 0")
     whole = some.agg(F.sum("tokens").alias("all"), F.count("*").alias("n")).first()
     if not whole["n"]:
         return 1.0
-    everything, n = float(whole["all"]), whole["n"]
-
-    def tried(low: float, high: float) -> list[tuple[float, float, float]]:
-        share = F.col("tokens") / everything
-        powered = F.pow(share, F.col("a"))
-        at = F.explode(F.array(*[F.lit(low + (high - low) * i / STEPS) for i in range(STEPS + 1)]))
-        rows = (
-            some.select("tokens", at.alias("a"))
-            .groupBy("a")
-            .agg(
-                F.sum(powered).alias("z"),
-                F.sum(powered * F.ln(share)).alias("e"),
-                F.max(powered / F.col("tokens")).alias("most"),
-            )
-            .select(
-                "a",
-                (F.ln("z") - F.col("a") * F.col("e") / F.col("z")).alias("entropy"),
-                (F.col("most") * everything * mix.budget / F.col("z")).alias("passes"),
-            )
-            .collect()
-        )
-        return sorted((r["a"], r["entropy"], r["passes"]) for r in rows)
-
-    target = mix.entropy * log(n)
-    for_entropy = _largest(tried, lambda row: row[1] >= target - 1e-9)
-    for_passes = _smallest(tried, lambda row: row[2] <= mix.repetition + 1e-9)
-    return max(for_entropy, for_passes)
-
-
-def _largest(tried, good) -> float:
-    low, high = 0.0, 1.0
-    for _ in range(ROUNDS):
-        rows = tried(low, high)
-        if good(rows[-1]):
-            return rows[-1][0]
-        at = max((i for i, r in enumerate(rows) if good(r)), default=0)
-        low, high = rows[at][0], rows[min(at + 1, STEPS)][0]
-    return low
-
-
-def _smallest(tried, good) -> float:
-    low, high = 0.0, 1.0
-    for _ in range(ROUNDS):
-        rows = tried(low, high)
-        if good(rows[0]):
-            return rows[0][0]
-        at = min((i for i, r in enumerate(rows) if good(r)), default=STEPS)
-        low, high = rows[max(at - 1, 0)][0], rows[at][0]
+    everything = float(whole["all"])
+    share = F.col("tokens") / everything
+
+    def at(a: float) -> tuple[float, float]:
+        """Entropy of the weights, and passes over the source repeated most."""
+        powered = F.pow(share, F.lit(a))
+        sums = some.agg(
+            F.sum(powered).alias("z"),
+            F.sum(powered * F.ln(share)).alias("e"),
+            F.max(powered / F.col("tokens")).alias("most"),
+        ).first()
+        return log(sums["z"]) - a * sums["e"] / sums["z"], sums["most"] * everything * mix.budget / sums["z"]
+
+    own, highest = at(1.0)[0], log(whole["n"])
+    target = own + mix.entropy * (highest - own)
+    # Up to here the target is reached, beyond it isn't; shares that are equal reach it anywhere.
+    low, high = (1.0, 1.0) if target <= own + 1e-12 else (0.0, 1.0)
+    for _ in range(HALVINGS if low < high else 0):
+        middle = (low + high) / 2
+        low, high = (middle, high) if at(middle)[0] >= target else (low, middle)
+    if at(low)[1] <= mix.repetition + 1e-9:
+        return low
+    high = 1.0
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        low, high = (low, middle) if at(middle)[1] <= mix.repetition else (middle, high)
     return high
 
 

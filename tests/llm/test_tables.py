@@ -1,6 +1,7 @@
 """Chat turns, mixtures, exact search, and the pipeline."""
 
 import json
+import math
 import random
 from collections import defaultdict
 
@@ -132,6 +133,41 @@ def test_draws_keep_to_their_budgets(spark, repetition, entropy):
         assert all(abs(weights[s] - shares[s]) < 1e-6 for s in weights.index)
 
 
+def plain_exponent(tokens, mix):
+    """The exponent by a fine grid, in plain numbers."""
+    total = sum(tokens)
+
+    def at(a):
+        powered = [(t / total) ** a for t in tokens]
+        weights = [p / sum(powered) for p in powered]
+        passes = max(w * total * mix.budget / t for w, t in zip(weights, tokens))
+        return -sum(w * math.log(w) for w in weights), passes
+
+    own = at(1.0)[0]
+    target = own + mix.entropy * (math.log(len(tokens)) - own)
+    grid = [i / 20000 for i in range(20001)]
+    a = max(x for x in grid if at(x)[0] >= target - 1e-12)
+    return a if at(a)[1] <= mix.repetition else min(x for x in grid if x >= a and at(x)[1] <= mix.repetition)
+
+
+@pytest.mark.parametrize("mix", [mixing.Mix(), mixing.Mix(entropy=0.9, repetition=1.1)])
+def test_a_whole_table_is_mixed_as_a_plain_version_says(spark, folder, mix):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    counts = mixing.token_counts(docs)
+    by_source = mixing.by_source(counts).toPandas().set_index("source")
+    a = mixing.exponent(mixing.by_source(counts), mix)
+    assert a < 1 and abs(a - plain_exponent(list(by_source.tokens), mix)) < 1e-4
+    total = by_source.tokens.sum()
+    powered = (by_source.tokens / total) ** a
+    drawn = mixing.mixture(docs, mix).toPandas()
+    realised = drawn.groupby("source").n_tokens.sum()
+    longest = counts.agg({"n_tokens": "max"}).first()[0]
+    assert ((powered / powered.sum() * total - realised).abs() <= longest).all()
+    times = drawn.groupby("doc_id").size()
+    # Small sources are repeated, large ones cut.
+    assert times.max() == 2 and len(times) < docs.count()
+
+
 def test_mixing_does_not_depend_on_the_layout(spark, rows):
     docs = sources(spark, {"a": 100, "b": 30})
     mix = mixing.Mix(block=16)
