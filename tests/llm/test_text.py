@@ -1,9 +1,12 @@
 """Languages, quality, toxicity, token ids: plain versions and held-out accuracy."""
 
+import math
+import os
 import random
 import zlib
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -162,6 +165,55 @@ def test_toxic_documents_are_found_where_labels_are_held_out(spark):
     assert unseen[unseen.toxic == 0].predicted.mean() < 0.01
 
 
+def test_held_out_toxic_documents_of_the_given_tables_are_found(spark):
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no such tables")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    found = toxicity.score(docs, labels).toPandas().merge(labels.toPandas())
+    unseen = found[found.held_out]
+    assert unseen[unseen.toxic == 1].predicted.mean() > 0.85
+    assert unseen[unseen.toxic == 0].predicted.mean() < 0.01
+
+
+def plain_fit(rows, labels):
+    """FTRL-proximal, one coordinate after another."""
+    z, n = {}, {}
+    heavier = (len(labels) - sum(labels)) / sum(labels)
+
+    def weight(i):
+        v = z.get(i, 0.0)
+        if abs(v) <= toxicity.L1:
+            return 0.0
+        v -= math.copysign(toxicity.L1, v)
+        return -v / ((toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for row, label in zip(rows, labels):
+            ws = [weight(i) for i in row]
+            g = 1 / (1 + math.exp(-max(-35, min(35, sum(ws))))) - label
+            g *= heavier if label else 1
+            for i, w in zip(row, ws):
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / toxicity.ALPHA * w
+                n[i] = old + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_the_fit_equals_a_plain_one():
+    draw = random.Random(8)
+    rows, labels = [], []
+    for _ in range(250):
+        label = int(draw.random() < 0.2)
+        row = {0, *(draw.randrange(1, 60) for _ in range(15)), *([99] if label and draw.random() < 0.8 else [])}
+        rows.append(np.array(sorted(row), np.int32))
+        labels.append(label)
+    fitted = toxicity.fit(rows, np.array(labels, float))
+    expected = plain_fit([r.tolist() for r in rows], labels)
+    assert set(np.flatnonzero(fitted)) == set(expected) and 99 in expected
+    assert all(abs(fitted[i] - w) < 1e-9 for i, w in expected.items())
+
+
 def test_held_out_labels_are_not_learned_from(spark, rows):
     docs, labels = planted_labels(spark, 300)
     flipped = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 3 = 1, 1 - toxic, toxic) AS toxic")
