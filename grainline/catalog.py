@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainline import operators as op
@@ -158,6 +158,25 @@ def activity_streaks_by_day(spark: SparkSession, folder: str) -> DataFrame:
     return op.streaks(days, "employee_id", "attendance_date", mode="activity", unit="day")
 
 
+#: First month of the calendars that hold activity as bits.
+CALENDAR = "1995-01-01"
+
+
+def _bits(spark: SparkSession, folder: str) -> DataFrame:
+    return op.month_bits(src.sold_orders(spark, folder), "customer_id", "order_date", CALENDAR)
+
+
+@register
+def activity_streaks_by_bits(spark: SparkSession, folder: str) -> DataFrame:
+    return op.streaks_of_bits(_bits(spark, folder), "customer_id", CALENDAR)
+
+
+@register
+def activity_streaks_by_session(spark: SparkSession, folder: str) -> DataFrame:
+    present = src.attendance(spark, folder).filter(F.col("attendance_status") == "Present")
+    return op.day_streaks(present, "employee_id", "attendance_date")
+
+
 @register
 def rolling_average(spark: SparkSession, folder: str) -> DataFrame:
     return op.rolling(
@@ -325,6 +344,11 @@ def month_reactivations(spark: SparkSession, folder: str) -> DataFrame:
     return op.month_reactivations(months, "customer_id", "sales_month", extra=True)
 
 
+@register
+def month_reactivations_by_bits(spark: SparkSession, folder: str) -> DataFrame:
+    return op.returns_of_bits(_bits(spark, folder), "customer_id", CALENDAR)
+
+
 @register
 def months_since_first(spark: SparkSession, folder: str) -> DataFrame:
     return op.with_cohort(active_months(spark, folder), "customer_id", "sales_month")
@@ -552,8 +576,8 @@ def partitioned_sales(spark: SparkSession, folder: str) -> DataFrame:
         F.col("order_date").alias("sale_date"),
         F.col("amount").alias("revenue"),
     )
-    path = session_path(spark, "sales_by_month")
-    src.write_by_month(sales, "sale_date", path)
+    path = session_path(spark, "sales_by_month", of=folder)
+    src.refresh_months(sales, "sale_date", path)
     return src.read_months(spark, path, "sale_date", "1999-11-15", "2000-02-11")
 
 
@@ -565,6 +589,12 @@ def management_levels(spark: SparkSession, folder: str) -> DataFrame:
     return op.hierarchy_levels(src.employees(spark, folder), "emp_id", "manager_id")
 
 
+@register
+def payroll_below_managers(spark: SparkSession, folder: str) -> DataFrame:
+    staff = src.employees(spark, folder)
+    return op.hierarchy_totals(staff, "emp_id", "manager_id", "salary", "headcount", "payroll")
+
+
 @register
 def staff_of_both_years(spark: SparkSession, folder: str) -> DataFrame:
     return op.in_both(
@@ -615,6 +645,13 @@ def salary_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(found, *levels)
 
 
+@register
+def salary_quantiles_by_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    levels = {"lower_quartile": 0.25, "median_value": 0.5, "upper_quartile": 0.75}
+    found = op.bracketed_quantiles(src.employees(spark, folder), "dept", "salary", levels)
+    return _rounded(found, *levels)
+
+
 @register
 def commonest_quantity(spark: SparkSession, folder: str) -> DataFrame:
     return op.mode(src.table(spark, folder, "lineitem"), "l_returnflag", "l_quantity")
@@ -656,16 +693,25 @@ def missing_employee_values(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _employee_rules() -> dict[str, Column]:
+    return {
+        "salary_not_positive": F.col("salary") > 0,
+        "name_malformed": F.col("emp_name").startswith("Customer#"),
+        "joined_too_late": F.col("join_date") < F.lit("1995-12-01").cast("date"),
+    }
+
+
 @register
 def employee_rule_violations(spark: SparkSession, folder: str) -> DataFrame:
-    return op.rule_violations(
-        src.employees(spark, folder),
-        {
-            "salary_not_positive": F.col("salary") > 0,
-            "name_malformed": F.col("emp_name").startswith("Customer#"),
-            "joined_too_late": F.col("join_date") < F.lit("1995-12-01").cast("date"),
-        },
-    )
+    return op.rule_violations(src.employees(spark, folder), _employee_rules())
+
+
+@register
+def employee_violations_while_writing(spark: SparkSession, folder: str) -> DataFrame:
+    path = session_path(spark, "employees")
+    counts = op.write_checked(src.employees(spark, folder), path, _employee_rules())
+    rows = src.stored_rows(spark, path).agg(F.count("*").alias("row_count"))
+    return rows.withColumns({name: F.lit(n).cast("bigint") for name, n in counts.items() if name != "row_count"})
 
 
 @register
@@ -681,6 +727,18 @@ def stratified_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def orders_sampled_exactly(spark: SparkSession, folder: str) -> DataFrame:
+    heads = src.table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    return op.exact_sample(heads, "o_orderpriority", "o_orderkey", 100)
+
+
+@register
+def orders_sampled_by_amount(spark: SparkSession, folder: str) -> DataFrame:
+    heads = src.table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return op.exact_sample(heads, "o_orderpriority", "o_orderkey", 100, weight="o_totalprice").drop("o_totalprice")
+
+
 @register
 def revenue_by_segment_and_region(spark: SparkSession, folder: str) -> DataFrame:
     names = src.table(spark, folder, "region").select("r_name").distinct().orderBy("r_name")
@@ -708,6 +766,11 @@ def cohort_retention(spark: SparkSession, folder: str) -> DataFrame:
     return op.cohort_retention(active_months(spark, folder), "customer_id", "sales_month")
 
 
+@register
+def cohort_retention_by_bits(spark: SparkSession, folder: str) -> DataFrame:
+    return op.retention_of_bits(_bits(spark, folder), CALENDAR)
+
+
 @register
 def churned_customers(spark: SparkSession, folder: str) -> DataFrame:
     return op.churned(
@@ -738,6 +801,22 @@ def reconciled_order_totals(spark: SparkSession, folder: str) -> DataFrame:
     return op.reconcile(heads, lines, "customer_id", "revenue", "orders", "lines")
 
 
+@register
+def reconciled_order_totals_by_range(spark: SparkSession, folder: str) -> DataFrame:
+    heads = src.orders(spark, folder).groupBy("customer_id").agg(total("amount").alias("revenue"))
+    lines = op.period_revenue(src.order_sales(spark, folder), grain=None, revenue="revenue")
+    return op.reconcile_by_range(heads, lines, "customer_id", "revenue", "orders", "lines")
+
+
+@register
+def monthly_totals_after_a_correction(spark: SparkSession, folder: str) -> DataFrame:
+    """What a correction of some orders changed, found among all customers' months."""
+    placed = src.orders(spark, folder).withColumn("sales_month", month_start("order_date"))
+    corrected = placed.withColumn("amount", F.when(F.col("order_id") % 1009 == 0, F.col("amount") + 1).otherwise(F.col("amount")))
+    sums = [f.groupBy("customer_id", "sales_month").agg(total("amount").alias("revenue")) for f in (placed, corrected)]
+    return op.reconcile_by_range(*sums, ["customer_id", "sales_month"], "revenue", "before", "after")
+
+
 # Reports
 
 

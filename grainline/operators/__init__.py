@@ -1,6 +1,13 @@
 """DataFrame to DataFrame operators."""
 
 from grainline.operators.adjustments import apply_adjustments, run_statement, transfers
+from grainline.operators.calendars import (
+    day_streaks,
+    month_bits,
+    retention_of_bits,
+    returns_of_bits,
+    streaks_of_bits,
+)
 from grainline.operators.cohorts import cohort_retention, cohort_shares, cohorts, with_cohort
 from grainline.operators.duplicates import (
     dedupe_keep_latest,
@@ -11,7 +18,7 @@ from grainline.operators.duplicates import (
     union_distinct,
 )
 from grainline.operators.gaps import inactivity_gaps, month_reactivations, purchase_gaps
-from grainline.operators.hierarchy import hierarchy_levels
+from grainline.operators.hierarchy import hierarchy_levels, hierarchy_totals
 from grainline.operators.lifecycle import churned, conversion_rate, with_segment
 from grainline.operators.lookups import (
     attach,
@@ -26,6 +33,7 @@ from grainline.operators.ordering import (
     cumulative,
     global_row_number,
     group_row_number,
+    positions,
 )
 from grainline.operators.ranking import (
     nth_highest,
@@ -47,8 +55,10 @@ from grainline.operators.shares import (
     percent_of_total,
     share_of_group,
 )
+from grainline.operators.sketches import bracketed_quantiles
 from grainline.operators.statistics import (
     correlation,
+    exact_sample,
     iqr_outliers,
     keyed_sample,
     lookup,
@@ -58,8 +68,10 @@ from grainline.operators.statistics import (
     pivot_sum,
     quantiles,
     reconcile,
+    reconcile_by_range,
     rule_violations,
     stratified_sample,
+    write_checked,
     z_scores,
 )
 from grainline.operators.streaks import longest_streak, streaks, with_run_length
@@ -78,6 +90,7 @@ __all__ = [
     "apply_adjustments",
     "attach",
     "best_period",
+    "bracketed_quantiles",
     "by_key",
     "churned",
     "cohort_retention",
@@ -87,8 +100,10 @@ __all__ = [
     "conversion_rate",
     "correlation",
     "cumulative",
+    "day_streaks",
     "dedupe_keep_latest",
     "duplicates",
+    "exact_sample",
     "global_row_number",
     "group_row_number",
     "group_sum",
@@ -96,6 +111,7 @@ __all__ = [
     "groups_where_average",
     "hierarchy_levels",
     "hierarchy_parent",
+    "hierarchy_totals",
     "in_both",
     "inactivity_gaps",
     "iqr_outliers",
@@ -107,6 +123,7 @@ __all__ = [
     "missing_values",
     "mode",
     "moments",
+    "month_bits",
     "month_reactivations",
     "never_matched",
     "nth_highest",
@@ -115,9 +132,13 @@ __all__ = [
     "percent_of_total",
     "period_revenue",
     "pivot_sum",
+    "positions",
     "purchase_gaps",
     "quantiles",
     "reconcile",
+    "reconcile_by_range",
+    "retention_of_bits",
+    "returns_of_bits",
     "rolling",
     "rollup_years",
     "roots",
@@ -128,6 +149,7 @@ __all__ = [
     "share_of_group",
     "stratified_sample",
     "streaks",
+    "streaks_of_bits",
     "top_k",
     "top_k_per_group",
     "transfers",
@@ -137,6 +159,7 @@ __all__ = [
     "with_previous",
     "with_run_length",
     "with_segment",
+    "write_checked",
     "yoy",
     "z_scores",
 ]

@@ -6,7 +6,7 @@ and come from counts per distinct value, so no task collects a group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from grainline.functions import total
@@ -90,6 +90,20 @@ def z_scores(df: DataFrame, group: Names, value: str, out: str = "z_score") -> D
     return scored.drop("mean_value", "stddev_value")
 
 
+def write_checked(df: DataFrame, path: str, rules: dict[str, Column]) -> dict[str, int]:
+    """Write ``df`` and count on the way how many rows break each rule.
+
+    The counts are those of ``rule_violations``; they are metrics of the write,
+    so the rows are computed and read once.  ``row_count`` is counted as well.
+    """
+    seen = Observation()
+    broken = [
+        F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()
+    ]
+    df.observe(seen, F.count("*").alias("row_count"), *broken).write.parquet(path)
+    return seen.get
+
+
 def missing_values(df: DataFrame, columns: Names) -> DataFrame:
     """One row with the row count and the NULL count of each column."""
     nulls = [F.count_if(F.col(c).isNull()).alias(f"{c}_missing") for c in as_names(columns)]
@@ -160,6 +174,62 @@ def lookup(
     return found.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
+def exact_sample(
+    df: DataFrame, strata: Names, key: str, size: int, weight: str | None = None
+) -> DataFrame:
+    """``size`` rows of each stratum, or all if it has fewer, by the least marks.
+
+    A row's mark is a hash of its key, so the sample doesn't depend on how rows
+    are spread, and each task passes on at most ``size`` rows of a stratum.  With
+    ``weight`` a row's chance grows with its weight: the mark is an exponential
+    time whose rate the weight is; rows without a positive weight aren't drawn.
+    """
+    digest = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
+    place = F.conv(digest, 16, 10).cast("bigint")
+    if weight is None:
+        marked = df.withColumn("_mark", -place)
+    else:
+        uniform = (place + F.lit(0.5)) / F.lit(float(1 << 32))
+        marked = df.filter(F.col(weight) > 0).withColumn("_mark", F.ln(uniform) / F.col(weight).cast("double"))
+    return top_k_per_group(marked, strata, "_mark", size, tie=key, out="_place").drop("_mark", "_place")
+
+
+def reconcile_by_range(
+    left: DataFrame,
+    right: DataFrame,
+    key: Names,
+    metric: str,
+    left_name: str = "left",
+    right_name: str = "right",
+    ranges: int = 65_536,
+) -> DataFrame:
+    """``reconcile`` for tables that mostly agree: only ranges that differ are moved.
+
+    Keys are dealt into a fixed number of ranges by a hash.  A checksum of each
+    range, summed up in every task, tells which ranges differ; the rows of those
+    alone are compared.
+    """
+    keys = as_names(key)
+    kind = left.schema[metric].dataType
+
+    def ranged(df: DataFrame) -> DataFrame:
+        typed = df.select(*keys, F.col(metric).cast(kind).alias(metric))
+        return typed.withColumn("_range", F.pmod(F.xxhash64(*keys), F.lit(ranges)).cast("int"))
+
+    def sums(df: DataFrame, sign: int) -> DataFrame:
+        content = F.xxhash64(*keys, metric).cast("decimal(38,0)")
+        return df.groupBy("_range").agg(
+            (F.sum(content) * sign).alias("_content"), (F.count("*") * sign).alias("_count")
+        )
+
+    ours, theirs = ranged(left), ranged(right)
+    both = sums(ours, 1).unionByName(sums(theirs, -1)).groupBy("_range")
+    differ = both.agg(F.sum("_content").alias("_content"), F.sum("_count").alias("_count"))
+    differ = F.broadcast(differ.filter("_content <> 0 OR _count <> 0").select("_range"))
+    ours, theirs = (df.join(differ, "_range", "left_semi").drop("_range") for df in (ours, theirs))
+    return reconcile(ours, theirs, keys, metric, left_name, right_name)
+
+
 def reconcile(
     left: DataFrame,
     right: DataFrame,

@@ -25,13 +25,28 @@ def tuned_builder(master: str | None = None, **settings: str) -> SparkSession.Bu
     return builder
 
 
-def session_path(spark: SparkSession, name: str) -> str:
-    """A new folder where all executors reach it, removed when the session's JVM ends.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    It lies in ``spark.checkpoint.dir``, or in the warehouse if that isn't set.
+    A local session without one uses its warehouse; on a cluster the setting is
+    required, since a folder of one machine is no place for a table.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    given = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not given and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return (given or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def session_path(spark: SparkSession, name: str, of: str | None = None) -> str:
+    """A folder where all executors reach it, removed when the session's JVM ends.
+
+    It is a new one, or with ``of`` the one that belongs to this session and text.
+    """
+    own = uuid.uuid4().hex
+    if of is not None:
+        own = uuid.uuid5(uuid.NAMESPACE_URL, f"{spark.sparkContext.applicationId} {of}").hex
+    path = f"{shared_root(spark)}/{name}-{own}"
     place, system = _place(spark, path)
     system.deleteOnExit(place)
     return path
@@ -49,6 +64,11 @@ def discard(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
 def _place(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

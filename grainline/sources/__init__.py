@@ -1,6 +1,6 @@
 """Named tables, business views over them, and partitioned storage."""
 
-from grainline.sources.storage import read_months, write_by_month
+from grainline.sources.storage import read_months, refresh_months, stored_rows, write_by_month
 from grainline.sources.tables import table
 from grainline.sources.views import (
     accounts,
@@ -36,10 +36,12 @@ __all__ = [
     "orders",
     "product_sales",
     "read_months",
+    "refresh_months",
     "region_sales",
     "seller_sales",
     "sold_orders",
     "staff_of_year",
+    "stored_rows",
     "table",
     "transfer_requests",
     "write_by_month",

@@ -307,4 +307,9 @@ OPERATORS = {
         GROUP BY account_id""",
 }
 
+# The same results by another way.
+OPERATORS["activity_streaks_by_bits"] = OPERATORS["activity_streaks_by_month"]
+OPERATORS["activity_streaks_by_session"] = OPERATORS["activity_streaks_by_day"]
+OPERATORS["month_reactivations_by_bits"] = OPERATORS["month_reactivations"]
+
 STATEMENTS = {**OPERATORS, **TOPICS, **REPORTS}

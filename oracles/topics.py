@@ -152,4 +152,46 @@ TOPICS = {
                     ELSE 'different' END AS status
         FROM a FULL JOIN b USING (customer_id)
         WHERE orders_revenue IS DISTINCT FROM lines_revenue""",
+    "employee_violations_while_writing": with_views("staff") + """
+        SELECT COUNT(*) AS row_count,
+               COUNT(*) FILTER (WHERE salary IS NULL OR salary <= 0) AS salary_not_positive,
+               COUNT(*) FILTER (WHERE emp_name NOT LIKE 'Customer#%') AS name_malformed,
+               COUNT(*) FILTER (WHERE join_date >= DATE '1995-12-01') AS joined_too_late
+        FROM staff""",
+    "orders_sampled_exactly": """
+        SELECT o_orderkey, o_orderpriority FROM orders
+        QUALIFY ROW_NUMBER() OVER (
+            PARTITION BY o_orderpriority
+            ORDER BY substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8), o_orderkey) <= 100""",
+    "orders_sampled_by_amount": """
+        SELECT o_orderkey, o_orderpriority FROM orders WHERE o_totalprice > 0
+        QUALIFY ROW_NUMBER() OVER (
+            PARTITION BY o_orderpriority
+            ORDER BY ln((CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
+                         + CAST(0.5 AS DOUBLE)) / 4294967296) / o_totalprice DESC, o_orderkey) <= 100""",
+    "monthly_totals_after_a_correction": with_views("placed") + """,
+        m AS (
+            SELECT customer_id, CAST(date_trunc('month', order_date) AS DATE) AS sales_month,
+                   CAST(SUM(amount) AS DECIMAL(28,2)) AS before_revenue,
+                   CAST(SUM(amount) + COUNT(amount) FILTER (WHERE order_id % 1009 = 0)
+                        AS DECIMAL(28,2)) AS after_revenue
+            FROM placed GROUP BY ALL)
+        SELECT *, CAST(before_revenue - after_revenue AS DECIMAL(29,2)) AS difference,
+               'different' AS status
+        FROM m WHERE before_revenue <> after_revenue""",
 }
+
+TOPICS["payroll_below_managers"] = "WITH RECURSIVE" + with_views("staff").removeprefix("WITH") + """,
+        climb AS (
+            SELECT emp_id AS top, emp_id, salary, manager_id AS next FROM staff
+            UNION ALL
+            SELECT s.emp_id, c.emp_id, c.salary, s.manager_id
+            FROM climb c JOIN staff s ON s.emp_id = c.next)
+        SELECT top AS emp_id, COUNT(*) AS headcount,
+               CAST(COALESCE(SUM(salary), 0) AS DECIMAL(28,2)) AS payroll
+        FROM climb GROUP BY top"""
+
+# The same results by another way.
+TOPICS["salary_quantiles_by_sketch"] = TOPICS["salary_quantiles"]
+TOPICS["cohort_retention_by_bits"] = TOPICS["cohort_retention"]
+TOPICS["reconciled_order_totals_by_range"] = TOPICS["reconciled_order_totals"]

@@ -6,8 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from plan_text import final_plan
+
 from grainline import operators as op
 from grainline import sources as src
+from grainline.operators import lookups
 
 
 @pytest.fixture
@@ -46,6 +49,71 @@ def test_attach_equals_a_plain_join(spark, rows, how):
     assert rows(found) == rows(left.join(right, "k", how))
 
 
+def test_totals_below_equal_a_recursion(spark, rows):
+    draw = random.Random(2)
+    # A chain of a thousand, a bushy tree with a hot root, lone rows, an unknown parent.
+    up = {i: i - 1 if i else None for i in range(1000)}
+    up |= {2000: None} | {2000 + i: draw.choice([2000, 2000, draw.randrange(2000, 2000 + i)]) for i in range(1, 600)}
+    up |= {5000: None, 5001: 9999}
+    pay = {i: draw.choice([None, draw.randrange(100)]) for i in up}
+    expected = {i: [0, 0] for i in up}
+    for i in up:
+        at = i
+        while at in up:
+            expected[at][0] += 1
+            expected[at][1] += pay[i] or 0
+            at = up[at]
+    df = spark.createDataFrame([(i, up[i], pay[i]) for i in up], "id bigint, up bigint, v int")
+    assert rows(op.hierarchy_totals(df, "id", "up", "v")) == sorted((i, n, float(t)) for i, (n, t) in expected.items())
+    assert rows(op.hierarchy_totals(df.limit(0), "id", "up", "v")) == []
+    cycle = spark.createDataFrame([(1, 2, 1), (2, 1, 1), (3, None, 1)], "id bigint, up bigint, v int")
+    with pytest.raises(ValueError, match="cycle"):
+        op.hierarchy_totals(cycle, "id", "up", "v")
+
+
+def test_a_full_join_splits_a_hot_key(spark, rows, monkeypatch):
+    monkeypatch.setattr(lookups, "HOT", 20)
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 17 == 1, None).otherwise(F.col("id") % 400).cast("int").alias("k"),
+        (F.col("id") % 1000).alias("a"),
+    )
+    right = spark.range(500).select(
+        F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 100 == 9, 7).otherwise(F.col("id") + 200).cast("int").alias("k"),
+        F.col("id").alias("b"),
+    )
+    found = op.attach(left, right, "k", "full")
+    assert found.columns == ["k", "a", "b"]
+    assert rows(found) == rows(left.join(right, "k", "full"))
+    plan = final_plan(found)
+    # Both tables are joined once; keys that are hot are counted besides.
+    assert plan.count("FullOuter") == 1
+    nothing = left.limit(0)
+    assert rows(op.attach(nothing, right, "k", "full")) == rows(nothing.join(right, "k", "full"))
+    assert rows(op.attach(left, right.limit(0), "k", "full")) == rows(left.join(right.limit(0), "k", "full"))
+
+
+def test_only_changed_months_are_written(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(900).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("d"))
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("sales_month=*/*.parquet")}
+
+    assert len(src.refresh_months(df, "d", path)) == 3
+    first = files()
+    assert src.refresh_months(df.repartition(5), "d", path) == []
+    assert files() == first
+    more = df.unionByName(spark.range(1).select((F.col("id") - 1).alias("id"), F.lit("2024-02-10").cast("date").alias("d")))
+    assert [str(m) for m in src.refresh_months(more, "d", path)] == ["2024-02-01"]
+    kept = {f: t for f, t in files().items() if "2024-02" not in str(f)}
+    assert kept == {f: t for f, t in first.items() if "2024-02" not in str(f)}
+    assert rows(src.read_months(spark, path, "d", "2024-01-01", "2025-01-01"), "id", "d") == rows(more, "id", "d")
+    # Months that are gone are removed; rows without a date have a place of their own.
+    fewer = more.filter("d < '2024-03-01'").unionByName(spark.range(1).select("id", F.lit(None).cast("date").alias("d")))
+    assert [str(m) for m in src.refresh_months(fewer, "d", path)] == ["2024-03-01", "None"]
+    assert rows(src.read_months(spark, path, "d", "2024-01-01", "2025-01-01"), "id") == rows(more.filter("d < '2024-03-01'"), "id")
+
+
 def test_duplicates_and_latest(frame, rows):
     df = frame(
         "id bigint; name string; s decimal(12,2); d date",
