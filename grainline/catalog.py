@@ -680,6 +680,12 @@ def order_amount_outliers_usual_reach(spark: SparkSession, folder: str) -> DataF
     )
 
 
+@register
+def event_value_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    events = src.table(spark, folder, "events").select("event_id", "event_type", "value")
+    return op.iqr_outliers(events, "event_type", "value", reach=1.5)
+
+
 @register
 def salary_z_scores(spark: SparkSession, folder: str) -> DataFrame:
     staff = src.employees(spark, folder).select("emp_id", "dept", "salary")

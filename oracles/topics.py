@@ -70,6 +70,12 @@ TOPICS = {
         SELECT order_id, sales_month, amount FROM m NATURAL JOIN q
         WHERE NOT CAST(amount AS DOUBLE) BETWEEN q1 - (q3 - q1) * CAST(1.5 AS DOUBLE)
                                              AND q3 + (q3 - q1) * CAST(1.5 AS DOUBLE)""",
+    "event_value_outliers": """
+        SELECT event_id, event_type, value FROM events NATURAL JOIN (
+            SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+            FROM events GROUP BY event_type)
+        WHERE value < q1 - (q3 - q1) * CAST(1.5 AS DOUBLE)
+           OR value > q3 + (q3 - q1) * CAST(1.5 AS DOUBLE)""",
     "salary_z_scores": with_views("staff") + f"""
         SELECT emp_id, dept, salary,
                {_six("(CAST(salary AS DOUBLE) - AVG(CAST(salary AS DOUBLE)) OVER w) "
