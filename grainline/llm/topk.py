@@ -1,9 +1,10 @@
 """Exact top-k by inner product in three phases with one threshold for all shards.
 
-A shard is a partition of the candidates.  First every shard sends the k best
-scores of its local list; the k-th best of those is a score that the answer
-can't fall below.  That cutoff is broadcast, and shards send only entries that
-reach it.  What they sent is ranked exactly.
+A shard is a group of candidates of bounded size, and blocks of queries stream
+through every shard.  First every shard sends the k best scores of its local list;
+the k-th best of those is a score that the answer can't fall below.  That cutoff
+goes out with the queries, and shards send only entries that reach it.  What they
+sent is ranked exactly.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from grainline.llm.common import stored
+
 SCALE = 1024
 EVERY = 100
-#: Queries that are broadcast at once, and candidates worked on at once.
-QUERY_BLOCK, ROWS = 2048, 2048
+#: Candidates of a shard, on average, and queries scored at once.
+SHARD, QUERY_BLOCK = 32_768, 64
 LOWEST = np.iinfo(np.int64).min
 
-RESULT = "query_id long, rank int, vec_id long, score long"
-
 
 def as_integers(vectors: DataFrame, scale: int = SCALE, *more: str) -> DataFrame:
     """vec_id, floor(scale * x) of each component, and the columns `more`; vectors that are null or
@@ -64,99 +65,117 @@ def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return queries @ rows.T
 
 
-def _scored(block, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """ids and scores (queries by rows); a query's own rows have the lowest score."""
-    ids, vectors = block[:2]
+def _packed(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = matrix(batch.column(1), width)
+        vectors = pa.array([x.tobytes() for x in rows], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), vectors], ["vec_id", "vector"])
+
+
+def _scored(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], np.ndarray, np.ndarray]]:
+    """Each block of queries with a shard's ids and the scores (queries by rows).
+
+    Rows come by shard, its candidates in the order of their ids before the
+    blocks.  A query's own rows have the lowest score.
+    """
+    now, held, shard = None, [], None
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS):
-            piece = batch.slice(start, ROWS)
-            rows = piece.column(0).to_numpy(zero_copy_only=False)
-            scores = products(vectors, matrix(piece.column(1), vectors.shape[1]))
-            at = np.searchsorted(ids, rows)
-            own = np.flatnonzero(ids[np.minimum(at, len(ids) - 1)] == rows)
-            scores[at[own], own] = LOWEST
-            yield rows, scores
-
-
-def _best_scores(shared, k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Phase one: the k best scores of this shard for each query."""
-    best = None
-    for _, scores in _scored(shared.value, batches):
-        both = scores if best is None else np.concatenate([best, scores], axis=1)
-        best = np.partition(both, both.shape[1] - k, axis=1)[:, -k:] if both.shape[1] > k else both
-    if best is not None:
+        columns = [c.to_pylist() for c in batch.columns]
+        for number, vec_id, vector, block in zip(*columns, strict=True):
+            if number != now:
+                now, held, shard = number, [], None
+            if block is None:
+                held.append((vec_id, vector))
+                continue
+            if not held:
+                continue
+            if shard is None:
+                ids = np.array([r[0] for r in held], np.int64)
+                shard = ids, np.frombuffer(b"".join(r[1] for r in held), np.int64).reshape(len(ids), width)
+            queries = np.zeros((len(block), width), np.int64)
+            for i, query in enumerate(block):
+                queries[i, : len(query["ints"])] = query["ints"]
+            scores = products(queries, shard[1])
+            asked = np.array([q["vec_id"] for q in block], np.int64)
+            scores[asked[:, None] == shard[0][None, :]] = LOWEST
+            yield block, shard[0], scores
+
+
+def _best_scores(width: int, k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phase one: the k best scores of a shard for each query."""
+    for block, ids, scores in _scored(width, batches):
+        best = np.partition(scores, len(ids) - k, axis=1)[:, -k:] if len(ids) > k else scores
         query, column = np.nonzero(best != LOWEST)
+        asked = np.array([q["vec_id"] for q in block], np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(shared.value[0][query]), pa.array(best[query, column])], ["query_id", "score"]
+            [pa.array(asked[query]), pa.array(best[query, column])], ["query_id", "score"]
         )
 
 
-def _sufficient(shared, k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sufficient(width: int, k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phase two: entries above the cutoff; of those at it, the k smallest ids."""
-    ids, _, cutoff = shared.value
-    held_query, held_row = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for rows, scores in _scored(shared.value, batches):
-        query, column = np.nonzero((scores > cutoff[:, None]) & (scores != LOWEST))
-        if len(query):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[query]), pa.array(rows[column]), pa.array(scores[query, column])],
-                ["query_id", "vec_id", "score"],
-            )
-        query, column = np.nonzero((scores == cutoff[:, None]) & (scores != LOWEST))
-        held_query, held_row = np.concatenate([held_query, query]), np.concatenate([held_row, rows[column]])
-        order = np.lexsort((held_row, held_query))
-        held_query, held_row = held_query[order], held_row[order]
-        place = np.arange(len(held_query)) - np.searchsorted(held_query, held_query)
-        held_query, held_row = held_query[place < k], held_row[place < k]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(ids[held_query]), pa.array(held_row), pa.array(cutoff[held_query])],
-        ["query_id", "vec_id", "score"],
+    for block, ids, scores in _scored(width, batches):
+        asked = np.array([q["vec_id"] for q in block], np.int64)
+        cutoff = np.array([LOWEST if q["cutoff"] is None else q["cutoff"] for q in block], np.int64)
+        usable = scores != LOWEST
+        equal = usable & (scores == cutoff[:, None])
+        equal &= np.cumsum(equal, axis=1) <= k
+        query, column = np.nonzero((usable & (scores > cutoff[:, None])) | equal)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(asked[query]), pa.array(ids[column]), pa.array(scores[query, column])],
+            ["query_id", "vec_id", "score"],
+        )
+
+
+def _through(candidates: DataFrame, queries: DataFrame, blocks: int, shards: int, run, schema: str) -> DataFrame:
+    """Every block of queries against every shard of candidates, in one job."""
+    held = queries.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).agg(
+        F.collect_list(F.struct("vec_id", "ints", "cutoff")).alias("block")
     )
+    kind = held.schema["block"].dataType
+    rows = candidates.select("number", "vec_id", "vector", F.lit(None).cast(kind).alias("block"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("vec_id", "long"), ("vector", "binary"))]
+    both = rows.union(held.select(every.alias("number"), *nothing, "block")).repartitionByRange(shards, "number")
+    return both.sortWithinPartitions("number", F.col("vec_id").asc_nulls_last()).mapInArrow(run, schema)
 
 
 def search(vectors: DataFrame, k: int = 10, every: int = EVERY, scale: int = SCALE) -> DataFrame:
     """The k highest scores of each query row against all other rows.
 
-    Queries are the rows whose vec_id is divisible by `every`; they are taken in
-    blocks, so what is broadcast is bounded.  Of query rows with one vec_id the
-    least vector counts.  Every candidate row counts on its own, also repeated
-    ones; rows with the query's vec_id are the query's own.  Components that one
-    of two vectors lacks count as zero.  Ties go to the smaller vec_id.  Without
-    queries or candidates the result is empty.  Scores are exact below 2^63.
+    Queries are the rows whose vec_id is divisible by `every`; they are dealt to
+    the shards in blocks, so the plan has one size and a task holds one shard and
+    one block.  Of query rows with one vec_id the least vector counts.  Every
+    candidate row counts on its own, also repeated ones; rows with the query's
+    vec_id are the query's own.  Components that one of two vectors lacks count
+    as zero.  Ties go to the smaller vec_id.  Without queries or candidates the
+    result is empty.  Scores are exact below 2^63.
     """
     spark = vectors.sparkSession
     rows = as_integers(vectors, scale)
-    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("ints").alias("ints"))
-    blocks = -(-queries.count() // QUERY_BLOCK)
-    found = None
-    for block in range(blocks):
-        own = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block
-        taken = queries.where(own).orderBy("vec_id").toArrow().combine_chunks()
-        if not taken.num_rows:
-            continue
-        ids = taken.column("vec_id").to_numpy()
-        lists = taken.column("ints").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        width = int(np.diff(lists.offsets.to_numpy()).max(initial=0))
-        query_rows = matrix(lists, max(width, 1))
-
-        shared = spark.sparkContext.broadcast((ids, query_rows))
-        local = rows.mapInArrow(partial(_best_scores, shared, k), "query_id long, score long")
-        ranked = local.withColumn(
-            "_at", F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc()))
-        )
-        safe = ranked.where(F.col("_at") == k).select("query_id", "score").toPandas()
-        cutoff = np.full(len(ids), LOWEST, np.int64)
-        cutoff[np.searchsorted(ids, safe.query_id.to_numpy())] = safe.score.to_numpy()
-
-        shared = spark.sparkContext.broadcast((ids, query_rows, cutoff))
-        part = rows.mapInArrow(partial(_sufficient, shared, k), "query_id long, vec_id long, score long")
-        found = part if found is None else found.union(part)
-    if found is None:
-        return spark.createDataFrame([], RESULT)
+    is_query = F.col("vec_id") % every == 0
+    found = rows.agg(F.count("*"), F.max(F.size("ints")), F.count_if(is_query)).first()
+    n, width, asked = found[0], max(found[1] or 0, 1), found[2]
+    shards = max(-(-n // SHARD), spark.sparkContext.defaultParallelism)
+    blocks = max(-(-asked // QUERY_BLOCK), 1)
+    # Rows that share a vec_id are told apart by their vector, or are equal.
+    number = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int")
+    packed = rows.select("vec_id", "ints").mapInArrow(partial(_packed, width), "vec_id long, vector binary")
+    candidates = stored(packed.withColumn("number", number))
+    queries = stored(rows.where(is_query).groupBy("vec_id").agg(F.min("ints").alias("ints")))
+
+    none = queries.withColumn("cutoff", F.lit(None).cast("long"))
+    run = partial(_best_scores, width, k)
+    local = _through(candidates, none, blocks, shards, run, "query_id long, score long")
+    ranked = local.withColumn("_at", F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc())))
+    cutoffs = ranked.where(F.col("_at") == k).select("query_id", F.col("score").alias("cutoff"))
+    known = stored(queries.join(cutoffs, F.col("vec_id") == F.col("query_id"), "left").drop("query_id"))
+
+    run = partial(_sufficient, width, k)
+    enough = _through(candidates, known, blocks, shards, run, "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(order))
+        enough.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
     )

@@ -199,6 +199,7 @@ def vectors(spark, data):
 def test_search_equals_a_plain_version(spark, rows, monkeypatch):
     draw = random.Random(3)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(topk, "SHARD", 40)
     data = [(i, [draw.choice([-0.5, 0.0, 0.25, draw.random()]) for _ in range(6)], 0) for i in range(450)]
     data = [(i, v, n) if i % 5 else (i, [0.5] * 6, n) for i, v, n in data]
     data += [(500, None, 0), (600, [1.0, None], 0), (700, [float("nan")] * 6, 0), (-100, [float("inf")], 0)]
