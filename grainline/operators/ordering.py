@@ -58,8 +58,13 @@ def _ascending(df: DataFrame, order: list[str]) -> Column:
 
 def _reversed(column: Column, kind: T.DataType) -> Column:
     """A value that ascends where the column descends."""
-    if isinstance(kind, T.NumericType):
+    if isinstance(kind, T.IntegralType):
+        return F.bitwise_not(column)
+    if isinstance(kind, T.DecimalType):
         return -column
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # NaN is the greatest number, so it comes first.
+        return F.struct((~F.isnan(column)).alias("f"), F.when(~F.isnan(column), -column).alias("v"))
     if isinstance(kind, T.DateType):
         return -F.unix_date(column)
     if isinstance(kind, T.TimestampType):

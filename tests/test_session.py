@@ -55,15 +55,13 @@ def test_the_plan_does_not_grow_with_the_number_of_partitions(spark, folder):
 def test_order_equals_a_sort(spark, rows, order):
     df = spark.range(300).selectExpr(
         "id", "if(id % 9 = 0, null, substr(conv(id * 7919 % 4001, 10, 16), 1, int(id % 4))) AS s",
-        "if(id % 9 = 1, null, id * 31 % 17 - 8) AS n", "date_add(date'2024-01-01', int(id * 13 % 29)) AS d",
+        "if(id % 9 = 1, null, if(id = 7, -9223372036854775807L - 1, id * 31 % 17 - 8)) AS n", "date_add(date'2024-01-01', int(id * 13 % 29)) AS d",
         "timestamp_seconds(id * 17 % 23) AS t", "id % 3 = 0 AS b", "if(id % 5 = 0, double('NaN'), id * 0.5 % 7) AS x",
     )
     found = op.global_row_number(df, [order, "id"])
     window = W.orderBy(*ordering.sort_columns([order, "id"]))
     plain = df.withColumn("row_num", F.row_number().over(window))
-    if order != "-x":
-        assert rows(found, "id", "row_num") == rows(plain, "id", "row_num")
-    assert [r for (r,) in rows(found, "row_num")] == list(range(1, 301))
+    assert rows(found, "id", "row_num") == rows(plain, "id", "row_num")
 
 
 def test_what_has_no_order_backwards_is_refused(spark):
