@@ -387,7 +387,8 @@ def top_products_per_region_with_ties(spark: SparkSession, folder: str) -> DataF
     products = op.group_sum(
         src.region_sales(spark, folder), ["region", "product"], "sales_amount", "revenue"
     )
-    return op.top_k_per_group(products, "region", "revenue", 2, method="dense_rank").drop("rnk")
+    best = op.top_k_per_group(products, "region", "revenue", 2, method="dense_rank", few_ties=True)
+    return best.drop("rnk")
 
 
 @register

@@ -47,10 +47,10 @@ def sort_columns(order: list[str]) -> list[Column]:
 
 def _ascending(df: DataFrame, order: list[str]) -> Column:
     """A struct that sorts ascending as ``order`` does."""
-    fields = []
+    schema, fields = df.schema, []
     for i, name in enumerate(order):
         column = F.col(name.removeprefix("-"))
-        kind = df.schema[name.removeprefix("-")].dataType
+        kind = schema[name.removeprefix("-")].dataType
         value = _reversed(column, kind) if name.startswith("-") else column
         fields += [column.isNull().alias(f"n{i}"), value.alias(f"v{i}")]
     return F.struct(*fields)
@@ -96,28 +96,29 @@ def _place(bounds: str) -> Column:
     return F.coalesce(F.aggregate(steps, F.lit(0), step), F.lit(0))
 
 
-def sliced(df: DataFrame, order: list[str]) -> DataFrame:
-    """Add the range a row belongs to, ``_slice`` and ``_part``, and its key ``_k``.
+def sliced(df: DataFrame, order: list[str], **more: Column) -> DataFrame:
+    """Add the range a row belongs to, ``_slice`` and ``_part``, and columns ``more``.
 
     Samples hold the rows with certain hashes.  The whole order makes up a bound,
     so a value that fills many ranges, NULL included, is cut by the columns
     after it.
     """
-    keyed = df.withColumn("_k", _ascending(df, order))
+    key, columns = _ascending(df, order), [F.col(f"`{c}`") for c in df.columns]
     hashed = F.xxhash64("_k")
-    drawn = keyed.select("_k").orderBy(hashed, "_k").limit(SLICES * DRAWN)
+    drawn = df.select(key.alias("_k")).orderBy(hashed, "_k").limit(SLICES * DRAWN)
     drawn = drawn.agg(F.array_sort(F.collect_list("_k")).alias("_drawn"))
-    first = drawn.select(_bounds(F.least(F.lit(SLICES), F.size("_drawn"))).alias("_bounds"))
-    in_slices = keyed.withColumn("_first", first.scalar()).withColumn("_slice", _place("_first")).drop("_first")
+    first = drawn.select(_bounds(F.least(F.lit(SLICES), F.size("_drawn")))).scalar()
+    keyed = df.select(*columns, key.alias("_k"), first.alias("_first"))
+    in_slices = keyed.select(*columns, "_k", _place("_first").alias("_slice"))
 
-    some = in_slices.select("_slice", "_k").filter(F.pmod(hashed, F.lit(EVERY)) == 0)
-    some = some.groupBy("_slice").agg(F.array_sort(F.collect_list("_k")).alias("_drawn"))
+    some = in_slices.filter(F.pmod(hashed, F.lit(EVERY)) == 0).groupBy(F.col("_slice").alias("_of"))
+    some = some.agg(F.array_sort(F.collect_list("_k")).alias("_drawn"))
     parts = F.least(F.lit(SLICES), F.floor(F.size("_drawn") / DRAWN).cast("int"))
-    finer = some.select(F.col("_slice").alias("_of"), _bounds(F.greatest(parts, F.lit(1))).alias("_second"))
+    finer = some.select("_of", _bounds(F.greatest(parts, F.lit(1))).alias("_second"))
     # One row per slice, each with fewer than 1,024 bounds.
     placed = in_slices.join(F.broadcast(finer), F.col("_slice") == F.col("_of"), "left")
     part = F.when(F.col("_of").isNull(), 0).otherwise(_place("_second"))
-    return placed.withColumn("_part", part).drop("_of", "_second")
+    return placed.select(*columns, "_slice", part.alias("_part"), *[c.alias(n) for n, c in more.items()])
 
 
 def _all_before(window: WindowSpec) -> WindowSpec:
@@ -136,17 +137,17 @@ def carry(ranges: DataFrame, keys: list[str], columns: dict[str, Carried]) -> Da
     joined, and no window is longer than a slice has parts or than there are slices.
     """
     parts = [c for c in ranges.columns if c not in (*keys, "_slice")]
-    folds = {f"_all_{out}": fold(c).alias(f"_all_{out}") for out, (fold, c, _) in columns.items()}
-    slices = ranges.groupBy(*keys, "_slice").agg(F.collect_list(F.struct(*parts)).alias("_ranges"), *folds.values())
+    folds = [fold(c).alias(f"_all_{out}") for out, (fold, c, _) in columns.items()]
+    slices = ranges.groupBy(*keys, "_slice").agg(F.collect_list(F.struct(*parts)).alias("_ranges"), *folds)
     before = _all_before(W.partitionBy(*keys).orderBy("_slice"))
-    above = {f"_above_{out}": fold(f"_all_{out}").over(before) for out, (fold, _, _) in columns.items()}
-    flat = slices.select(*keys, "_slice", "_ranges", *[c.alias(n) for n, c in above.items()])
-    flat = flat.select(*keys, "_slice", *above, F.inline("_ranges"))
+    above = [fold(f"_all_{out}").over(before).alias(f"_above_{out}") for out, (fold, _, _) in columns.items()]
+    flat = slices.select(*keys, "_slice", "_ranges", *above)
+    flat = flat.select(*keys, "_slice", *[f"_above_{out}" for out in columns], F.inline("_ranges"))
     inside = _all_before(W.partitionBy(*keys, "_slice").orderBy("_part"))
-    found = flat.withColumns({out: fold(c).over(inside) for out, (fold, c, _) in columns.items()})
-    return found.withColumns(
-        {out: join(F.col(f"_above_{out}"), F.col(out)) for out, (_, _, join) in columns.items()}
-    ).drop(*above)
+    carried = [
+        join(F.col(f"_above_{out}"), fold(c).over(inside)).alias(out) for out, (fold, c, join) in columns.items()
+    ]
+    return flat.select(*keys, "_slice", *parts, *carried)
 
 
 def _added(above: Column, inside: Column) -> Column:
@@ -172,11 +173,11 @@ def positions(
     a task holds one range of a group, whatever the limit.
     """
     groups = as_names(group)
-    ranged = sliced(df, [*groups, *order]).drop("_k")
+    ranged = sliced(df, [*groups, *order])
     count = F.lit(1) if weight is None else F.col(weight)
     sizes = ranged.groupBy(*groups, *RANGE).agg(F.sum(count.cast("long")).alias("_size"))
-    starts = carry(sizes, groups, {"_start": _total_before("_size")}).drop("_size")
-    starts = starts.withColumn("_start", F.coalesce("_start", F.lit(0)))
+    starts = carry(sizes, groups, {"_start": _total_before("_size")})
+    starts = starts.select(*groups, *RANGE, F.coalesce("_start", F.lit(0)).alias("_start"))
     window = W.partitionBy(*groups, *RANGE).orderBy(*sort_columns(order))
     if limit is not None:
         starts = starts.filter(F.col("_start") < limit)
@@ -186,13 +187,15 @@ def positions(
     placed = ranged.withColumn("_inside", inside)
     if limit is None:
         placed = _joined(placed, starts, groups)
-    placed = placed.withColumn(out, F.col("_start") + F.col("_inside") + 1).drop("_start", "_inside", *RANGE)
+    position = F.col("_start") + F.col("_inside") + 1
+    placed = placed.select(*[F.col(f"`{c}`") for c in df.columns if c != out], position.alias(out))
     return placed if limit is None else placed.filter(F.col(out) <= limit)
 
 
 def _joined(rows: DataFrame, ranges: DataFrame, groups: list[str], how: str = "inner") -> DataFrame:
     """Attach what belongs to a row's range."""
-    renamed = ranges.withColumnsRenamed({c: f"_of{c}" for c in [*groups, *RANGE]})
+    same = [*groups, *RANGE]
+    renamed = ranges.select(*[F.col(f"`{c}`").alias(f"_of{c}" if c in same else c) for c in ranges.columns])
     matches = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in groups]
     matches += [F.col(c) == F.col(f"_of{c}") for c in RANGE]
     found = rows.join(renamed, reduce(lambda a, b: a & b, matches), how)
@@ -226,7 +229,7 @@ def compare_ranks(
     rows and distinct values it has, its last value and where that value began;
     a value that began in an earlier range keeps its ranks.
     """
-    ranged = sliced(df, [f"-{value}", key]).withColumn("_v", _ascending(df, [f"-{value}"])).drop("_k")
+    ranged = sliced(df, [f"-{value}", key], _v=_ascending(df, [f"-{value}"]))
     values = ranged.groupBy(*RANGE, "_v").agg(F.count("*").alias("_n"))
     ranges = values.groupBy(*RANGE).agg(
         F.sum("_n").alias("_size"),
@@ -239,15 +242,14 @@ def compare_ranks(
     ranges = carry(ranges, [], {"_start": _total_before("_size"), "_before": last})
     start = F.coalesce("_start", F.lit(0))
     goes_on = F.col("_before").isNotNull() & F.col("_before").eqNullSafe(F.col("_lowest"))
-    ranges = ranges.withColumns({"_start": start, "_goes_on": goes_on})
-    ranges = ranges.withColumns(
-        {
-            "_new": F.col("_values") - F.col("_goes_on").cast("int"),
-            # Where the range's last value begins, if it does so here.
-            "_began": F.when(
-                ~(F.col("_goes_on") & (F.col("_values") == 1)), F.col("_start") + F.col("_size") - F.col("_of_last")
-            ),
-        }
+    # Where the range's last value begins, if it does so here.
+    began = F.when(~(goes_on & (F.col("_values") == 1)), start + F.col("_size") - F.col("_of_last"))
+    ranges = ranges.select(
+        *RANGE,
+        start.alias("_start"),
+        goes_on.alias("_goes_on"),
+        (F.col("_values") - goes_on.cast("int")).alias("_new"),
+        began.alias("_began"),
     )
     ranges = carry(ranges, [], {"_dense": _total_before("_new"), "_rank": (F.max, "_began", F.greatest)})
     ranges = ranges.select(*RANGE, "_start", "_goes_on", F.coalesce("_dense", F.lit(0)).alias("_dense"), "_rank")
@@ -255,22 +257,21 @@ def compare_ranks(
     inside = W.partitionBy(*RANGE)
     by_value = inside.orderBy(F.col(value).desc_nulls_last())
     by_row = inside.orderBy(F.col(value).desc_nulls_last(), F.col(key).asc_nulls_last())
-    numbered = ranged.drop("_v").withColumns(
-        {
-            "_row_in": F.row_number().over(by_row),
-            "_rank_in": F.rank().over(by_value),
-            "_dense_in": F.dense_rank().over(by_value),
-        }
+    numbered = ranged.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        *RANGE,
+        F.row_number().over(by_row).alias("_row_in"),
+        F.rank().over(by_value).alias("_rank_in"),
+        F.dense_rank().over(by_value).alias("_dense_in"),
     )
-    numbered = _joined(numbered, ranges, [])
     earlier = F.col("_goes_on") & (F.col("_dense_in") == 1)
-    return numbered.withColumns(
-        {
-            row_number: F.col("_start") + F.col("_row_in"),
-            rank: F.when(earlier, F.col("_rank") + 1).otherwise(F.col("_start") + F.col("_rank_in")),
-            dense_rank: F.col("_dense") + F.col("_dense_in") - F.col("_goes_on").cast("int"),
-        }
-    ).drop(*RANGE, "_start", "_goes_on", "_dense", "_rank", "_row_in", "_rank_in", "_dense_in")
+    ranks = {
+        row_number: F.col("_start") + F.col("_row_in"),
+        rank: F.when(earlier, F.col("_rank") + 1).otherwise(F.col("_start") + F.col("_rank_in")),
+        dense_rank: F.col("_dense") + F.col("_dense_in") - F.col("_goes_on").cast("int"),
+    }
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in ranks]
+    return _joined(numbered, ranges, []).select(*kept, *[c.alias(n) for n, c in ranks.items()])
 
 
 def cumulative(
@@ -313,7 +314,7 @@ def _ranged_running_sum(
     Ranges are those of (key, order): a key that does not fit into one goes on
     in the next.  So at most one key per range has anything carried into it.
     """
-    ranged = sliced(df, [*keys, order]).drop("_k")
+    ranged = sliced(df, [*keys, order])
     sums = ranged.groupBy(*keys, *RANGE).agg(F.sum(value).alias("_sum"))
     carried = carry(sums, keys, {"_carried": _total_before("_sum")}).drop("_sum")
     carried = carried.filter(F.col("_carried").isNotNull())

@@ -22,13 +22,15 @@ def top_k_per_group(
     method: str = "row_number",
     tie: Names = (),
     out: str = "rnk",
+    few_ties: bool = False,
 ) -> DataFrame:
     """The rows with the ``k`` highest values of each group, with their rank.
 
     ``row_number`` returns at most k rows a group; ``tie`` names the columns
     that order equal values.  ``rank`` and ``dense_rank`` return every tied row.
     Ties are unbounded, so the ranks are found on one row per distinct value and
-    joined back.  ``out`` is not a column of the frame yet.
+    joined back.  ``few_ties`` says that hardly any rows of a group tie, as after
+    a fold; then the rows are ranked themselves, and read once.  ``out`` is not a column of the frame yet.
 
     Up to a thousand Spark cuts each task's rows to k per group before the
     shuffle.  A larger k goes by counts: groups are cut into ranges of the order,
@@ -47,13 +49,16 @@ def top_k_per_group(
         return df.withColumn(out, number).filter(F.col(out) <= k)
     if method not in ("rank", "dense_rank"):
         raise ValueError(f"unknown method {method!r}")
+    window = W.partitionBy(*groups).orderBy(highest_first)
+    if few_ties and k <= CUT:
+        ranked = F.rank() if method == "rank" else F.dense_rank()
+        return df.withColumn(out, ranked.over(window)).filter(F.col(out) <= k)
     values = df.groupBy(*groups, value).agg(F.count("*").alias("_n"))
     if k > CUT:
         weight = "_n" if method == "rank" else None
         ranked = positions(values, groups, [f"-{value}"], out, weight, limit=k)
         ranked = ranked.withColumn(out, F.col(out).cast("int"))
         return join_groups(df, ranked.drop("_n"), [*groups, value])
-    window = W.partitionBy(*groups).orderBy(highest_first)
     ranked = values.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= k)
     if method == "rank":
         before = F.sum("_n").over(window.rowsBetween(W.unboundedPreceding, -1))

@@ -75,6 +75,8 @@ def test_top_k_equals_a_plain_window(spark, rows, method, k):
     order = [F.col("v").desc_nulls_last()] + ([F.col("id")] if method == "row_number" else [])
     window = W.partitionBy("g").orderBy(*order)
     plain = df.withColumn("rnk", getattr(F, method)().over(window)).filter(F.col("rnk") <= k)
+    few = op.top_k_per_group(df, "g", "v", k, method=method, tie="id", few_ties=True)
+    assert rows(few, "id", "g", "rnk") == rows(plain, "id", "g", "rnk")
     found = op.top_k_per_group(df, "g", "v", k, method=method, tie="id")
     assert rows(found, "id", "g", "rnk") == rows(plain, "id", "g", "rnk")
     assert found.schema["rnk"].dataType == plain.schema["rnk"].dataType
