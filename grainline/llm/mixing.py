@@ -131,7 +131,7 @@ def plan(counts: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     (`last` = 2), or not at all (0).  Windows run over one row for each block,
     and over the documents of one block for each source.
     """
-    sources = stored(budgets(by_source(counts), mix))
+    sources = stored(budgets(stored(by_source(counts)), mix))
     same = F.col("c.source").eqNullSafe(F.col("s.source"))
     placed = counts.alias("c").join(sources.alias("s"), same).select(
         "c.source", "d", "h", "n_tokens", "s.tokens", "s.budget", _block(mix, "d", "h").alias("block")
