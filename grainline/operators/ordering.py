@@ -106,13 +106,13 @@ def sliced(df: DataFrame, order: list[str], **more: Column) -> DataFrame:
     key, columns = _ascending(df, order), [F.col(f"`{c}`") for c in df.columns]
     hashed = F.xxhash64("_k")
     drawn = df.select(key.alias("_k")).orderBy(hashed, "_k").limit(SLICES * DRAWN)
-    drawn = drawn.agg(F.array_sort(F.collect_list("_k")).alias("_drawn"))
+    drawn = drawn.agg(F.sort_array(F.collect_list("_k")).alias("_drawn"))
     first = drawn.select(_bounds(F.least(F.lit(SLICES), F.size("_drawn")))).scalar()
     keyed = df.select(*columns, key.alias("_k"), first.alias("_first"))
     in_slices = keyed.select(*columns, "_k", _place("_first").alias("_slice"))
 
     some = in_slices.filter(F.pmod(hashed, F.lit(EVERY)) == 0).groupBy(F.col("_slice").alias("_of"))
-    some = some.agg(F.array_sort(F.collect_list("_k")).alias("_drawn"))
+    some = some.agg(F.sort_array(F.collect_list("_k")).alias("_drawn"))
     parts = F.least(F.lit(SLICES), F.floor(F.size("_drawn") / DRAWN).cast("int"))
     finer = some.select("_of", _bounds(F.greatest(parts, F.lit(1))).alias("_second"))
     # One row per slice, each with fewer than 1,024 bounds.
