@@ -39,7 +39,8 @@ def _full(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     rows = left.agg(F.count("*")).scalar()
     salts = F.ceil(F.col("_n") * HOT / rows).cast("int")
     hot = F.broadcast(counts.filter(F.col("_n") * HOT > rows).select(*keys, salts.alias("_salts")))
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    # Maps have no hash; the rest of a row tells its copies apart well enough.
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c, kind in left.dtypes if "map<" not in kind])
     salt = F.when(~known, F.pmod(spread, F.lit(HOT))).when(
         F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts"))
     )
