@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from grainline.llm.common import bound_batches, chunks, id_or_last, mixed, starts_of, texts_of
+from grainline.llm import repeats
+from grainline.llm.common import bound_batches, chunks, id_or_last, mixed, starts_of, stored, texts_of
 
 BUCKETS = 1 << 16
 GRAM = 4
@@ -29,10 +30,6 @@ UNIT = 1 << 20
 #: documents lies above zero; text of another make lies below -1.
 THRESHOLD = -0.3
 
-#: Trusted documents that the target multinomial is counted on, at most: the
-#: first by a hash of doc_id.  The raw counts are of all documents.
-TRUSTED_SAMPLE = 32_768
-
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
     " n_repeat_words long, base_failed boolean, kept boolean, llr double"
@@ -151,19 +148,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def model(docs: DataFrame, trusted_ids: DataFrame) -> np.ndarray:
-    """Log ratios of trusted to all documents; `trusted_ids` holds doc_ids, each once.
+def _counts(marked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Grams by bucket of rows (text, trusted), of all and of the trusted ones.
 
-    A task sends at most a row for each bucket, and so does the result.  No
-    text is shuffled: the trusted ids are a bounded number and are broadcast.
+    A task sends at most a row for each bucket, and so does the result.
     """
-    bound_batches(docs.sparkSession)
-    first = trusted_ids.select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(TRUSTED_SAMPLE)
-    marks = F.broadcast(first.withColumn("_trusted", F.lit(True)))
-    marked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    marked = marked.join(marks, F.col("doc_id") == F.col("_id"), "left").select(
-        "text", F.coalesce("_trusted", F.lit(False)).alias("trusted")
-    )
     counted = (
         marked.mapInArrow(_count, "bucket long, raw long, trusted long")
         .groupBy("bucket")
@@ -173,6 +162,28 @@ def model(docs: DataFrame, trusted_ids: DataFrame) -> np.ndarray:
     raw, trusted = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     raw[counted.bucket.to_numpy()] = counted.raw.to_numpy()
     trusted[counted.bucket.to_numpy()] = counted.trusted.to_numpy()
+    return raw, trusted
+
+
+def model(docs: DataFrame, trusted_ids: DataFrame) -> np.ndarray:
+    """Log ratios of trusted to all documents; `trusted_ids` holds doc_ids, each once.
+
+    All trusted documents are counted, and their texts stay where they are: a
+    filter of fixed size marks them, and a few others besides.  Those are found by
+    their ids alone; only their texts are moved, and what they counted is taken off.
+    """
+    bound_batches(docs.sparkSession)
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("d"), F.lit(0).alias("h"), F.col("text").cast("string").alias("text")
+    )
+    ids = stored(trusted_ids.select(F.col("doc_id").cast("long").alias("d"), F.lit(0).alias("h")))
+    passes = F.col("d").isNotNull() & repeats.bloom(ids)(F.col("d"), F.col("h"))
+    raw, trusted = _counts(rows.select("text", passes.alias("trusted")))
+    wrong = stored(rows.select("d", "h").where(passes).join(ids.select("d"), "d", "left_anti").distinct())
+    if not wrong.isEmpty():
+        maybe = rows.where(F.col("d").isNotNull() & repeats.bloom(wrong)(F.col("d"), F.col("h")))
+        moved = maybe.join(wrong.select("d"), "d", "left_semi")
+        trusted -= _counts(moved.select("text", F.lit(True).alias("trusted")))[1]
     return ratios(raw, trusted)
 
 
