@@ -109,7 +109,11 @@ def _screened(screen: Screen, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         at = np.flatnonzero(screen([r[1] for r in held.values()], classes))
         labels = [r[0] for r in held.values()]
         columns = [[key] * len(at), [ends[i][0] for i in at], [ends[i][1] for i in at], [labels[i] for i in at]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "d", "h", "label"])
+        sketches = [r[1] for r in held.values()]
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(c, pa.int64()) for c in columns), pa.array([sketches[i] for i in at], pa.binary())],
+            ["key", "d", "h", "label", "sketch"],
+        )
 
 
 def _compared(compare: Compare, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,14 +133,16 @@ def _links(dealt: DataFrame, sketches: DataFrame, rows: DataFrame, screen: Scree
     flat = dealt.select("key", "row.d", "row.h", "label")
     known = flat.join(of, same()).select("key", "d", "h", "label", "sketch")
     known = known.repartition("key").sortWithinPartitions("key")
-    likely = stored(known.mapInArrow(partial(_screened, screen), "key long, d long, h long, label long"))
+    likely = stored(
+        known.mapInArrow(partial(_screened, screen), "key long, d long, h long, label long, sketch binary")
+    )
 
     needed = likely.select("d", "h").distinct()
     passes = repeats.bloom(needed)(F.col("d"), F.col("h"))
     ends = needed.select(F.col("d").alias("_d"), F.col("h").alias("_h"))
     texts = rows.where(passes).join(ends, same(), "left_semi").groupBy("d", "h").agg(F.first("text").alias("text"))
-    texts = texts.join(of, same()).select(F.col("d").alias("_1"), F.col("h").alias("_2"), "sketch", "text")
-    whole = likely.join(texts, (F.col("d") == F.col("_1")) & (F.col("h") == F.col("_2")))
+    texts = texts.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "text")
+    whole = likely.join(texts, same())
     whole = whole.select("key", "d", "h", "label", "sketch", "text").repartition("key").sortWithinPartitions("key")
     return whole.mapInArrow(partial(_compared, compare), _PAIR)
 
@@ -203,6 +209,8 @@ def classes(
     )
     several = named.groupBy(F.col("bucket").alias("_b")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     unsettled = stored(named.join(several.where("lo < hi"), F.col("bucket") == F.col("_b")).drop("_b", "lo", "hi"))
+    if unsettled.isEmpty():
+        return roots
     blocks = _reblocked(unsettled, in_group)
     pairs = _block_pairs(unsettled, blocks, ratio)
     both = pairs.select("key", F.explode(F.array_distinct(F.array("i", "j"))).alias("at"))

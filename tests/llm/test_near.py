@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grainline.llm import blocks
+from grainline.llm import components as graph
 from grainline.llm import probminhash as near
 from grainline.llm.components import components
 
@@ -184,3 +185,30 @@ def test_components_of_chains_and_stars(spark, rows):
     frame = spark.createDataFrame(edges, "a long, b long")
     assert rows(components(frame)) == [(i, 0) for i in range(1, 41)] + [(100 + i, 100) for i in range(1, 50)]
     assert rows(components(frame.limit(0))) == []
+
+
+def test_components_of_one_stretch_take_no_rounds_of_stars(spark, rows, monkeypatch):
+    """Over many partitions, each round is thousands of tasks."""
+    monkeypatch.setattr(graph, "_toward", lambda *_, **__: pytest.fail("a round of stars"))
+    chain = [(i, i + 1) for i in range(500)]
+    random.Random(4).shuffle(chain)
+    frame = spark.createDataFrame(chain, "a long, b long").repartition(20)
+    assert rows(components(frame)) == [(i, 0) for i in range(1, 501)]
+
+
+@pytest.mark.parametrize("stretch", [3, 20, 1 << 15])
+def test_components_of_random_graphs(spark, rows, monkeypatch, stretch):
+    monkeypatch.setattr(graph, "EDGES", stretch)
+    draw = random.Random(stretch)
+    edges = [(draw.randrange(120), draw.randrange(120)) for _ in range(75)] + [(300, 200 + i) for i in range(40)]
+    forest = blocks.Forest(np.arange(301))
+    for a, b in edges:
+        forest.join(a, b)
+    expected = [(x, forest.root(x)) for x in range(301) if forest.root(x) != x]
+    flat = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    assert rows(components(flat)) == expected
+    # As structs: ordered by the first field, then by the second.
+    split = lambda c: F.struct((F.col(c) / 10).cast("long").alias("d"), (F.col(c) % 10).alias("h"))
+    found = components(flat.select(split("a").alias("a"), split("b").alias("b")))
+    found = found.selectExpr("node.d * 10 + node.h AS node", "root.d * 10 + root.h AS root")
+    assert rows(found) == expected
