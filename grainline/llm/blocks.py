@@ -141,8 +141,8 @@ def _links(dealt: DataFrame, sketches: DataFrame, rows: DataFrame, screen: Scree
     passes = repeats.bloom(needed)(F.col("d"), F.col("h"))
     ends = needed.select(F.col("d").alias("_d"), F.col("h").alias("_h"))
     texts = rows.where(passes).join(ends, same(), "left_semi").groupBy("d", "h").agg(F.first("text").alias("text"))
-    texts = texts.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "text")
-    whole = likely.join(texts, same())
+    texts = texts.select(F.col("d").alias("_1"), F.col("h").alias("_2"), "text")
+    whole = likely.join(texts, (F.col("d") == F.col("_1")) & (F.col("h") == F.col("_2")))
     whole = whole.select("key", "d", "h", "label", "sketch", "text").repartition("key").sortWithinPartitions("key")
     return whole.mapInArrow(partial(_compared, compare), _PAIR)
 
