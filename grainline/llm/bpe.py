@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gc
 import json
+import weakref
 from collections.abc import Iterator
 
 import ahocorasick
@@ -22,8 +23,11 @@ from grainline.llm.common import bound_batches, hex_sha256, texts_of
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-#: Entries kept of words already encoded, per task.
-WORDS_KEPT = 320_000
+#: Entries kept of what is already encoded, per task and kind of entry, and the
+#: code points of the longest pieces kept.  Tasks of an executor run side by side,
+#: each with its own entries; what isn't kept is encoded again.
+WORDS_KEPT = 100_000
+LONGEST_KEPT = 64
 
 #: Fixed by the tokenizer: how it splits a text before merging.
 SPLIT = (
@@ -73,26 +77,25 @@ class Encoder:
         raw = lambda token: bytes(letters[c] for c in token)
         vocab = model["vocab"]
         self.added = {x["content"]: x["id"] for x in given["added_tokens"]}
-        self.bytes_of = {i: raw(t) for t, i in vocab.items()}
-        self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
-        self.rank: dict[int, int] = {}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.merge: dict[tuple[int, int], int] = {}
+        self.by_name = {str(i): raw(t) for t, i in vocab.items()}
+        self.by_name |= {str(i): t.encode() for t, i in self.added.items()}
+        n = 1 + max(vocab.values(), default=-1)
+        #: By id: the merge that makes a token (-1: none), its two parts, its bytes.
+        self.rank, self.left, self.right, self.sizes = ([-1] * n for _ in range(4))
+        self.merge: dict[int, int] = {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            made, pair = vocab[left + right], (vocab[left], vocab[right])
-            self.merge.setdefault(pair, rank)
-            if made not in self.rank:
-                self.rank[made], self.parts[made] = rank, pair
+            made, left, right = vocab[left + right], vocab[left], vocab[right]
+            self.merge.setdefault(left << 32 | right, rank)
+            if self.rank[made] < 0:
+                self.rank[made], self.left[made], self.right[made] = rank, left, right
         self.pairs: dict[int, bool] = {}
-        self.tokens: dict[str, int] = {}
-        self.sizes: dict[int, int] = {}
         self.ends = ahocorasick.Automaton()
         for token, i in vocab.items():
-            if i not in self.parts or self._apart(*self.parts[i], before=self.rank[i]):
+            if self.rank[i] < 0 or self._apart(self.left[i], self.right[i], before=self.rank[i]):
                 data = raw(token).decode("latin-1")
                 self.ends.add_word(data, i)
-                self.tokens[data], self.sizes[i] = i, len(data)
+                self.sizes[i] = len(data)
         self.ends.make_automaton()
         self.split = regex.compile(SPLIT).findall
         self.split_exactly = regex.compile(SPLIT_EXACTLY).findall
@@ -100,9 +103,8 @@ class Encoder:
         if self.added:
             longest = sorted(map(regex.escape, self.added), key=len, reverse=True)
             self.specials = regex.compile("(" + "|".join(longest) + ")")
-        self.by_name = {str(i): data for i, data in self.bytes_of.items()}
         self.words: dict[str, str] = {}
-        self.chunks = Chunks(self._chunk)
+        self.chunks = Chunks(weakref.proxy(self))  # no cycle: freed when the task ends
 
     def _apart(self, left: int, right: int, before: float = float("inf")) -> bool:
         """Whether no merge of a rank under `before` joins the end of `left` to
@@ -115,16 +117,16 @@ class Encoder:
         """
         until_left = until_right = before
         while True:
-            joined = self.merge.get((left, right))
+            joined = self.merge.get(left << 32 | right)
             if joined is not None and joined < until_left and joined <= until_right and joined < before:
                 return False
-            a, b = self.rank.get(left, -1), self.rank.get(right, -1)
+            a, b = self.rank[left], self.rank[right]
             if a < 0 and b < 0:
                 return True
             if a > b:
-                until_left, left = min(a, until_left), self.parts[left][1]
+                until_left, left = min(a, until_left), self.right[left]
             else:
-                until_right, right = min(b, until_right), self.parts[right][0]
+                until_right, right = min(b, until_right), self.left[right]
 
     def ids(self, word: str) -> list[int]:
         """Ids of one word, by the last token of each of its prefixes.
@@ -132,7 +134,7 @@ class Encoder:
         `word` has a letter for each byte.
         """
         n = len(word)
-        whole = self.tokens.get(word)
+        whole = self.ends.get(word, None)
         if whole is not None:
             return [whole]
         last = [-1] * (n + 1)
@@ -162,19 +164,24 @@ class Encoder:
             return self.split_exactly(text)
         return self.split(text)
 
+    def _numbers(self, word: str) -> str:
+        return "".join([f",{i}" for i in self.ids(word.encode().decode("latin-1"))])
+
     def _word(self, word: str) -> str:
         got = self.words.get(word)
         if got is None:
-            if len(self.words) >= WORDS_KEPT:
-                self.words.clear()
-            got = self.words[word] = "".join(
-                [f",{i}" for i in self.ids(word.encode().decode("latin-1"))]
-            )
+            got = self._numbers(word)
+            if len(word) <= LONGEST_KEPT:
+                if len(self.words) >= WORDS_KEPT:
+                    self.words.clear()
+                self.words[word] = got
         return got
 
-    def _chunk(self, chunk: str) -> str:
+    def chunk(self, chunk: str) -> str:
+        """The ids of a piece that follows a space; a word alone isn't kept twice."""
         if chunk.isalpha():
-            return self._word(" " + chunk)
+            word = " " + chunk
+            return self.words.get(word) or self._numbers(word)
         if chunk[-1] in ",." and chunk[:-1].isalpha():
             return self._word(" " + chunk[:-1]) + self._word(chunk[-1])
         return "".join(map(self._word, self.split_words(" " + chunk)))
@@ -212,18 +219,25 @@ class NotCutHere(Exception):
 
 
 class Chunks(dict):
-    """Encoded pieces that follow a space, up to a number of them."""
+    """Encoded pieces that follow a space: the latest, and those met before them."""
 
-    def __init__(self, encode):
+    def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encode = encode
+        self.encoder = encoder
+        self.before: dict[str, str] = {}
 
     def __missing__(self, chunk: str) -> str:
-        if not chunk or chunk[0].isspace():
-            raise NotCutHere
+        got = self.before.get(chunk)
+        if got is None:
+            if not chunk or chunk[0].isspace():
+                raise NotCutHere
+            got = self.encoder.chunk(chunk)
+            if len(chunk) > LONGEST_KEPT:
+                return got
         if len(self) >= WORDS_KEPT:
+            self.before = dict(self)
             self.clear()
-        got = self[chunk] = self.encode(chunk)
+        self[chunk] = got
         return got
 
 

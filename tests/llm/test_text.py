@@ -1,8 +1,10 @@
 """Languages, quality, toxicity, token ids: plain versions and held-out accuracy."""
 
+import gc
 import math
 import os
 import random
+import weakref
 import zlib
 
 import brute
@@ -58,6 +60,37 @@ def test_ids_equal_the_library(encoder, library):
         assert encoder.decode(found).decode() == library.decode(expected, skip_special_tokens=False)
 
 
+def test_an_encoder_keeps_no_long_piece_and_no_word_twice():
+    encoder, draw = bpe.Encoder(tokenizer_definition()), random.Random(4)
+    letters = lambda n: "".join(draw.choices("aeinorst", k=n))
+    kept = lambda: [k + v for d in (encoder.words, encoder.chunks) for k, v in d.items()]
+    encoder.encode("x " + letters(20_000))
+    assert sum(map(len, kept())) < 1000
+    encoder.encode(" ".join(letters(12) for _ in range(1000)))
+    assert len(kept()) < 1010
+
+
+def test_an_encoder_goes_with_its_task():
+    gc.disable()  # as tasks do
+    try:
+        encoder = bpe.Encoder(tokenizer_definition())
+        assert encoder.decode(encoder.encode("the end, of it")) == b"the end, of it"
+        gone = weakref.ref(encoder)
+        del encoder
+        assert gone() is None
+    finally:
+        gc.enable()
+
+
+def test_ids_stay_when_few_pieces_are_kept(library, monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 5, raising=True)
+    encoder, draw = bpe.Encoder(tokenizer_definition()), random.Random(5)
+    known = ["one", "two,", "three!", "it's", "caf\u00e9", "x" * 200, "\n", "four."]
+    for _ in range(500):
+        text = " ".join(draw.choices(known, k=12))
+        assert encoder.encode(text) == [str(i) for i in library.encode(text, add_special_tokens=False).ids]
+
+
 def test_encoded_table_equals_the_library(documents, library, rows):
     found = rows(bpe.encode(documents, tokenizer_definition()))
     expected = []
