@@ -26,7 +26,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Entries kept of what is already encoded, per task and kind of entry, and the
 #: code points of the longest pieces kept.  Tasks of an executor run side by side,
 #: each with its own entries; what isn't kept is encoded again.
-WORDS_KEPT = 100_000
+WORDS_KEPT = 160_000
 LONGEST_KEPT = 64
 
 #: Fixed by the tokenizer: how it splits a text before merging.
